@@ -27,6 +27,7 @@ from millrace.session import materialize, table
 FREQUENT = 4  # records that make a form a candidate of the first round
 EDIT = 4.6  # -log probability of one edit
 DROPPED, INITIAL, TURNED, JOINED = 0.4, 0.3, 0.1, 0.1  # in edits
+CLEAR = 3
 OWN = 10.0  # posterior that a form beyond this many nats is an organisation of its own
 
 
@@ -69,6 +70,9 @@ def channel_cost(variant: Name, meant: Name) -> float:
     if variant.sector and not meant.sector:
         return math.inf
     extra = 0.0
+    if meant.sector and not variant.sector and len(a) == 1 and len(b) == 2 and len(a[0]) > len(b[0]) + len(b[1]) + 1:
+        whole = [b[0] + b[1] + meant.sector, b[1] + b[0] + meant.sector, b[1] + meant.sector + b[0]]  # all joined
+        return JOINED + min(weighted_distance(a[0], w, 2.0) for w in whole)
     if meant.sector and not variant.sector:
         if len(b) >= 2 and len(a) == len(b) or len(b) >= 2 and len(a) == 1:
             extra = DROPPED
@@ -117,6 +121,10 @@ def block_keys(form: str) -> list[str]:
     if len(words) == 2:
         for x in (words[0] + words[1], words[1] + words[0]):
             out |= deletes(x, 1)
+            if name.sector:
+                out |= deletes(x + name.sector, 1)
+    if len(words) == 1 and len(words[0]) > 14:
+        out |= deletes(words[0], 1)
     if len(words) == 1 and name.sector:
         out |= {words[0] + name.sector}
         if len(words[0]) >= 5:
@@ -188,7 +196,21 @@ def link_forms(forms: DataFrame, reference: DataFrame | None = None) -> DataFram
     second = materialize(attach(alone, alone), "attached")
     links = first.unionByName(second).unionByName(fixed.filter("form <> parent"))
     top = roots(links)
-    return all_forms.select("form").join(top, "form", "left").select("form", F.coalesce("root", "form").alias("root"))
+    placed = all_forms.join(top, "form", "left").select("form", "n", F.coalesce("root", "form").alias("root"))
+    placed = materialize(placed, "placed")
+    nick = materialize(short_names(placed), "short")
+    return placed.join(nick, "form", "left").select("form", F.coalesce("whole", "root").alias("root"))
+
+
+def short_names(placed: DataFrame) -> DataFrame:
+    """form, whole: one-word names without sector that are the first word of one two-word organisation, or of one that
+    has ``CLEAR`` times the records of the next."""
+    first = F.split("root", r"[ |]")[0]
+    heads = placed.filter(r"root RLIKE '^[^ |]+ [^ |]+[|]'").groupBy(F.col("root").alias("whole"), first.alias("head")).agg(F.sum("n").alias("n"))
+    words = placed.filter(r"form = root AND form RLIKE '^[^ |]{4,}[|][|]$'").select("form", F.split("form", r"\|")[0].alias("word"))
+    exact = words.join(heads, F.col("word") == F.col("head")).select("form", "whole", "n")
+    best = exact.groupBy("form").agg(F.max(F.struct("n", "whole")).alias("best"), F.sum("n").alias("all"))
+    return best.filter(F.col("best.n") >= CLEAR * (F.col("all") - F.col("best.n"))).select("form", F.col("best.whole").alias("whole"))
 
 
 def organisations(spark, sf_dir: str) -> DataFrame:

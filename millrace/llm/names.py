@@ -132,7 +132,7 @@ def short_legal(word: str) -> bool:
 HEAD = re.compile(r"^\s*(?:careers?\s*(?:@|at)|jobs?\s+(?:at|with)|join|via|the\s+(?=.*\speople\s*$)|team|work at|hiring(?: at|:)|about)\s+(?=\S)", re.I)
 TAIL = re.compile(r"\s*(?:\|\s*(?:careers?|jobs?|home|hiring).*|/\s*[\w &]*team.*|:\s*people (?:&|and) culture.*|\(\s*(?:we.re )?(?:hiring|remote|hybrid)[^)]*\)|,\s*[^,]*\boffice\b\s*|\s[–—-]\s*(?:emea|apac|amer|americas|europe|na|us|uk|dach|latam|global|remote)\s*|\s+people\s*|\bis hiring\b.*)$", re.I)
 PLACE_PAREN = re.compile(r"\(\s*([^()]*)\s*\)")
-DASH = re.compile(r"\s+[–—−-]\s*|\s*[–—]\s+")
+DASH = re.compile(r"\s+[–—−-]+\s*|\s*-*[–—]\s+")
 DOTTED = re.compile(r"\b((?:[A-Za-z]\.\s?){2,}[A-Za-z]?)(?=\W|$)")
 WORD = re.compile(r"[^\W_]+\.?")
 CAMEL = re.compile(r"(?<=[a-z]{2})(?=[A-Z][a-z])")
@@ -157,7 +157,7 @@ def parse(raw: str) -> Name:
     parts = [p for p in DASH.split(text) if p.strip()]
     if len(parts) == 2:
         a, b = parts[0].strip(), parts[1].strip()
-        if 2 <= len(a) <= 5 and " " not in a and fits_acronym(a, b):
+        if 2 <= len(a) <= 5 and " " not in a and fits_acronym(a, b, 2):
             acronym, text = a.lower(), b
         elif not words_of(b)[1] or len(b.split()) <= 2 and not any(sector_of(w.lower()) for w in re.findall(r"\w+", b)):
             text = a  # "Kapumo Zeka - Gapuville": a place
@@ -167,8 +167,11 @@ def parse(raw: str) -> Name:
     return Name(core, sector, initials, acronym)
 
 
-def fits_acronym(short: str, full: str) -> bool:
+def fits_acronym(short: str, full: str, least: int = 0) -> bool:
+    """``short`` is made of the initials of ``full``. With ``least``, only so many must agree: a sector may be left out."""
     heads = [w[0].lower() for w in re.findall(r"[^\W_]+", full)]
+    if least and len(heads) >= least and list(short.lower()[:least]) == heads[:least]:
+        return True
     return len(heads) >= 2 and len(short) >= 2 and subsequence(short.lower()[: len(heads)], "".join(heads)) and short.lower()[0] in heads
 
 
