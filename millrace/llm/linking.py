@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from millrace.llm.distance import deletes, weighted_distance
 from millrace.llm.matching import reference_entries
-from millrace.llm.names import Name, parse, says_nothing
+from millrace.llm.names import SECTORS, Name, letter_mask, parse, says_nothing
 from millrace.session import materialize, table
 
 FREQUENT = 4  # records that make a form a candidate of the first round
@@ -111,53 +111,80 @@ def posterior(variant: Name, n_variant: int, meant: Name, n_meant: int) -> float
     return math.log(n_meant + 1) - EDIT * cost + OWN
 
 
-def block_keys(form: str) -> list[str]:
-    """Words of a form up to one deletion, and the joined words. Two forms of one name share one of them."""
+def signature(form: str) -> int:
+    """Bit set of the letters of a form's core words."""
+    return letter_mask(form.split("|", 1)[0].replace(" ", ""))
+
+
+def variant_keys(form: str) -> set[str]:
+    """Keys that a variant shares with what it may stand for: its words up to one deletion, joined words marked."""
+    name = name_of(form)
+    out: set[str] = set()
+    for w in name.core:
+        if len(w) > 1:
+            out |= deletes(w, 1) if len(w) >= 5 else {w}
+    if len(name.core) == 1:
+        w = name.core[0]
+        if len(w) >= 9:
+            out |= {"+" + d for d in deletes(w, 1)}
+        if len(w) >= 5 and not name.initials:  # two edits in the only word
+            out |= {d + "+" + name.sector for d in deletes(w, 2)}
+    return {k for k in out if len(k) >= 3}
+
+
+def meant_keys(form: str) -> set[str]:
+    """Keys of a candidate: as a variant's, and its words joined, with and without its sector."""
     name = name_of(form)
-    words = [w for w in name.core if len(w) > 1]
-    out = set()
-    for w in words:
-        out |= deletes(w, 1) if len(w) >= 5 else {w}
-    if len(words) == 2:
-        for x in (words[0] + words[1], words[1] + words[0]):
-            out |= deletes(x, 1)
-            if name.sector:
-                out |= deletes(x + name.sector, 1)
-    if len(words) == 1 and len(words[0]) > 14:
-        out |= deletes(words[0], 1)
-    if len(words) == 1 and name.sector:
-        out |= {words[0] + name.sector}
-        if len(words[0]) >= 5:
-            out |= {d + "+" + name.sector for d in deletes(words[0], 2)}
-    return [k for k in out if len(k) >= 3]
-
-
-def forms_with_keys(forms: DataFrame) -> DataFrame:
-    """form, n, key"""
+    out = variant_keys(form)
+    if len(name.core) == 2:
+        x, y = name.core
+        for joined in (x + y, y + x, x + y + name.sector, y + x + name.sector, y + name.sector + x):
+            out |= {"+" + d for d in deletes(joined, 1)}
+    elif len(name.core) == 1 and name.sector:
+        out |= {"+" + d for d in deletes(name.core[0] + name.sector, 1)}
+    return out
+
+
+def with_keys(forms: DataFrame, keys) -> DataFrame:
+    """id, n, mask, sector, initials, words, key: a row for each key of each form."""
 
     def emit(batches):
         for b in batches:
-            yield pd.DataFrame({"form": b["form"], "n": b["n"], "key": b["form"].map(block_keys)}).explode("key").dropna()
+            parts = [f.split("|") for f in b["form"]]
+            yield pd.DataFrame(
+                {
+                    "id": b["id"], "n": b["n"], "mask": b["form"].map(signature), "key": b["form"].map(lambda f: list(keys(f))),
+                    "sector": [SECTORS.index(p[1]) if p[1] else -1 for p in parts], "initial": [bool(p[2]) for p in parts], "words": [p[0].count(" ") + 1 for p in parts],
+                }
+            ).explode("key").dropna()
 
-    return forms.select("form", "n").mapInPandas(emit, "form string, n long, key string").withColumn("key", F.xxhash64("key"))
+    out = forms.select("id", "form", "n").mapInPandas(emit, "id long, n long, mask long, key string, sector int, initial boolean, words int")
+    return out.withColumn("key", F.xxhash64("key"))
 
 
-def attach(variants: DataFrame, candidates: DataFrame) -> DataFrame:
+def attach(variants: DataFrame, candidates: DataFrame, forms: DataFrame) -> DataFrame:
     """form, parent: each variant's most probable candidate, where one is in reach and ranks before it."""
-    right = candidates.select(F.col("form").alias("meant"), F.col("n").alias("n_meant"), "key")
-    pairs = variants.join(right, "key").filter("form <> meant").select("form", "n", "meant", "n_meant").distinct()
+    left = with_keys(variants, variant_keys)
+    right = with_keys(candidates, meant_keys).filter("NOT initial").select([F.col(c).alias("m_" + c) for c in ("id", "n", "mask", "sector", "words")] + ["key"])
+    apart = F.bit_count(F.col("mask").bitwiseXOR(F.col("m_mask")))
+    fits = (F.col("sector") == F.col("m_sector")) | (F.col("sector") == -1)
+    # what the channel can't do is left out before the pairs are shuffled: a mask differs by two bits an edit at most
+    same = (F.col("words") != F.col("m_words")) | F.col("initial") | (apart <= 7)
+    pairs = left.join(right, (left["key"] == right["key"]) & (F.col("id") != F.col("m_id")) & fits & same).select("id", "m_id").distinct()
+    named = pairs.join(forms.select(F.col("id").alias("m_id"), F.col("form").alias("meant"), F.col("n").alias("n_meant")), "m_id").join(forms.select("id", "form", "n"), "id")
 
     def judge(batches):
         for b in batches:
+            names = {f: name_of(f) for f in {*b["form"], *b["meant"]}}
             score, order = [], []
             for v, nv, c, nc in zip(b["form"], b["n"], b["meant"], b["n_meant"]):
-                x, y = name_of(v), name_of(c)
+                x, y = names[v], names[c]
                 before = (-completeness(y), -nc, c) < (-completeness(x), -nv, v) if completeness(x) != completeness(y) else (-nc, c) < (-nv, v)
                 score.append(posterior(x, nv, y, nc) if before else -math.inf)
                 order.append(completeness(y))
             yield b.assign(score=score, whole=order)[["form", "meant", "n_meant", "score", "whole"]].query("score > 0")
 
-    judged = pairs.mapInPandas(judge, "form string, meant string, n_meant long, score double, whole int")
+    judged = named.select("form", "n", "meant", "n_meant").mapInPandas(judge, "form string, meant string, n_meant long, score double, whole int")
     best = F.max(F.struct("score", "whole", "n_meant", F.col("meant")))
     return judged.groupBy("form").agg(best.getField("meant").alias("parent"))
 
@@ -186,14 +213,14 @@ def link_forms(forms: DataFrame, reference: DataFrame | None = None) -> DataFram
     extra = listed.select(F.col("parent").alias("form"), F.lit(0).cast("long").alias("n"))
     extra = extra.unionByName(listed.select("form", F.lit(0).cast("long").alias("n"))).distinct()
     all_forms = forms.filter("form <> ''").unionByName(extra).groupBy("form").agg(F.sum("n").alias("n"))
-    keyed = materialize(forms_with_keys(all_forms), "keys")
-    fixed = listed.groupBy("form").agg(F.min("parent").alias("parent"))
-    free = keyed.join(F.broadcast(fixed.select("form")), "form", "left_anti")
-    listed_forms = F.broadcast(fixed.select("form").withColumn("listed", F.lit(True)))
-    frequent = keyed.join(listed_forms, "form", "left").filter(f"n >= {FREQUENT} OR listed").withColumn("n", F.when(F.col("listed"), F.greatest("n", F.lit(FREQUENT))).otherwise(F.col("n"))).drop("listed")
-    first = materialize(attach(free, frequent), "attached")
-    alone = free.join(first.select("form"), "form", "left_anti").filter(f"n < {FREQUENT}")
-    second = materialize(attach(alone, alone), "attached")
+    fixed = F.broadcast(listed.groupBy("form").agg(F.min("parent").alias("parent"))).withColumn("listed", F.lit(True))
+    all_forms = all_forms.join(fixed.select("form", "listed"), "form", "left").select(F.xxhash64("form").alias("id"), "form", F.when(F.col("listed"), F.greatest("n", F.lit(FREQUENT))).otherwise(F.col("n")).alias("n"), F.coalesce("listed", F.lit(False)).alias("listed"))
+    all_forms = materialize(all_forms, "forms")
+    free = all_forms.filter("NOT listed")
+    first = materialize(attach(free, all_forms.filter(f"n >= {FREQUENT}"), all_forms), "attached")
+    alone = materialize(free.filter(f"n < {FREQUENT}").join(first.select("form"), "form", "left_anti"), "alone")
+    second = materialize(attach(alone, alone, alone), "attached")
+    fixed = fixed.drop("listed")
     links = first.unionByName(second).unionByName(fixed.filter("form <> parent"))
     top = roots(links)
     placed = all_forms.join(top, "form", "left").select("form", "n", F.coalesce("root", "form").alias("root"))

@@ -22,6 +22,7 @@ LOOKALIKES = str.maketrans({
 DIGITS = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s"})
 # Legal forms, and words that say nothing about which organisation is meant.
 LEGAL = "inc incorporated llc ltd limited corp corporation co company plc gmbh ag sas sarl srl spa sa bv nv ab oy as pbc pty kk lp llp ev intl international group holding holdings labs technologies technology hq worldwide global".split()
+LONG_LEGAL = [x for x in LEGAL if len(x) >= 7]
 # Sector words and the shortenings that are not plain prefixes or skeletons of them.
 SECTORS = "ai logistics foods software energy analytics compute cloud health systems research learning semiconductors finance mobility aerospace robotics biosciences instruments dynamics security speech networks materials vision".split()
 SHORT = {"sw": "software", "rsrch": "research", "bio": "biosciences", "semi": "semiconductors", "comp": "compute", "en": "energy", "fin": "finance", "sec": "security", "sys": "systems", "net": "networks", "mat": "materials", "rob": "robotics", "an": "analytics", "nets": "networks", "matls": "materials", "dyn": "dynamics"}
@@ -43,6 +44,8 @@ class Name(NamedTuple):
 
 def letters(text: str) -> str:
     """Latin letters for look-alikes, full-width and accented ones; lower case."""
+    if text.isascii():
+        return text
     text = unicodedata.normalize("NFKC", text).translate(LOOKALIKES)
     text = "".join(c for c in unicodedata.normalize("NFD", text) if not unicodedata.combining(c) and unicodedata.category(c) not in ("Cf", "Cc") or c in "\t\n\r")
     return text
@@ -63,6 +66,16 @@ def near(a: str, b: str) -> bool:
     return a[i + 1 :] == b[i:] if la > lb else a[i:] == b[i + 1 :]
 
 
+def letter_mask(word: str) -> int:
+    out = 0
+    for c in word:
+        out |= 1 << (ord(c) % 32)
+    return out
+
+
+SECTOR_MASKS = [(s, letter_mask(s)) for s in SECTORS]
+
+
 @functools.lru_cache(100_000)
 def sector_of(word: str) -> str:
     """The sector a word stands for: itself, a typo, a prefix of three letters or more, or a skeleton of its letters."""
@@ -71,13 +84,16 @@ def sector_of(word: str) -> str:
     if word in SHORT:
         return SHORT[word]
     if len(word) >= 4:
-        for s in SECTORS:
+        mask = letter_mask(word)
+        # two edits bring in or take out at most two letters
+        close = [s for s, m in SECTOR_MASKS if abs(len(s) - len(word)) <= 2 and (mask & ~m).bit_count() <= 2 and (m & ~mask).bit_count() <= 2]
+        for s in close:
             if len(s) > 4 and near(word, s):
                 return s
-        if len(word) >= 6:
+        if len(word) >= 6 and any(len(s) >= 7 for s in close):
             from millrace.llm.distance import weighted_distance
 
-            for s in SECTORS:
+            for s in close:
                 if len(s) >= 7 and weighted_distance(word, s, 2.0) <= 2.0:
                     return s
     if len(word) >= 3:
@@ -98,7 +114,7 @@ def subsequence(a: str, b: str) -> bool:
 
 @functools.lru_cache(100_000)
 def legal(word: str) -> bool:
-    return word in LEGAL or (len(word) >= 5 and any(len(x) >= 7 and near(word, x) for x in LEGAL))
+    return word in LEGAL or (len(word) >= 6 and any(near(word, x) for x in LONG_LEGAL))
 
 
 LEGAL_RUN = re.compile("^(?:" + "|".join(sorted(LEGAL, key=len, reverse=True)) + "){2,}$")
@@ -131,6 +147,8 @@ def short_legal(word: str) -> bool:
 
 HEAD = re.compile(r"^\s*(?:careers?\s*(?:@|at)|jobs?\s+(?:at|with)|join|via|the\s+(?=.*\speople\s*$)|team|work at|hiring(?: at|:)|about)\s+(?=\S)", re.I)
 TAIL = re.compile(r"\s*(?:\|\s*(?:careers?|jobs?|home|hiring).*|/\s*[\w &]*team.*|:\s*people (?:&|and) culture.*|\(\s*(?:we.re )?(?:hiring|remote|hybrid)[^)]*\)|,\s*[^,]*\boffice\b\s*|\s[–—-]\s*(?:emea|apac|amer|americas|europe|na|us|uk|dach|latam|global|remote)\s*|\s+people\s*|\bis hiring\b.*)$", re.I)
+MARKED = re.compile(r"[|/:(,–—-]|people|hiring", re.I)
+DASHES = re.compile(r"[–—−-]")
 PLACE_PAREN = re.compile(r"\(\s*([^()]*)\s*\)")
 DASH = re.compile(r"\s+[–—−-]+\s*|\s*-*[–—]\s+")
 DOTTED = re.compile(r"\b((?:[A-Za-z]\.\s?){2,}[A-Za-z]?)(?=\W|$)")
@@ -140,21 +158,22 @@ CAMEL = re.compile(r"(?<=[a-z]{2})(?=[A-Z][a-z])")
 
 @functools.lru_cache(200_000)
 def parse(raw: str) -> Name:
-    text = re.sub(r"\s+", " ", letters(raw)).strip()
+    text = " ".join(letters(raw).split())
     was = None
     while was != text:
         was = text
-        text = TAIL.sub("", text).strip()
-        if HEAD.match(text):
-            text = HEAD.sub("", text, count=1)
-            text = text.rstrip("! ")
+        if MARKED.search(text):
+            text = TAIL.sub("", text).strip()
+        if m := HEAD.match(text):
+            text = text[m.end() :].rstrip("! ")
     acronym = ""
     # an acronym beside the name: "PVA - Punise Veruse", "Dolagu Getandre Mobility (DGM)"
-    for m in PLACE_PAREN.finditer(text):
-        if 2 <= len(m[1]) <= 5 and fits_acronym(m[1], text[: m.start()]):
-            acronym = m[1].lower()
-    text = PLACE_PAREN.sub(" ", text).strip()
-    parts = [p for p in DASH.split(text) if p.strip()]
+    if "(" in text:
+        for m in PLACE_PAREN.finditer(text):
+            if 2 <= len(m[1]) <= 5 and fits_acronym(m[1], text[: m.start()]):
+                acronym = m[1].lower()
+        text = PLACE_PAREN.sub(" ", text).strip()
+    parts = [p for p in DASH.split(text) if p.strip()] if DASHES.search(text) else [text]
     if len(parts) == 2:
         a, b = parts[0].strip(), parts[1].strip()
         if 2 <= len(a) <= 5 and " " not in a and fits_acronym(a, b, 2):
@@ -176,16 +195,20 @@ def fits_acronym(short: str, full: str, least: int = 0) -> bool:
 
 
 def words_of(text: str) -> tuple[tuple[str, ...], str, str]:
-    text = DOTTED.sub(lambda m: re.sub(r"[.\s]", "", m[1]) + " ", text)
-    text = re.sub(r"(?<=\w)['’](?=\w)", "", text)
+    if "." in text:
+        text = DOTTED.sub(lambda m: re.sub(r"[.\s]", "", m[1]) + " ", text)
+    if "'" in text or "’" in text:
+        text = re.sub(r"(?<=\w)['’](?=\w)", "", text)
     found: list[tuple[str, bool]] = []
     for m in WORD.finditer(text):
         dotted = m[0].endswith(".")
         w = m[0].rstrip(".")
-        if any(c.isdigit() for c in w) and any(c.isalpha() for c in w):
+        if not w.isalpha() and any(c.isalpha() for c in w):
             w = w.lower().translate(DIGITS)
-        pieces = CAMEL.split(w) if not w.isupper() else [w]
-        found += [(p.lower(), dotted) for p in pieces]
+        if w.islower() or w.isupper() or w.istitle():
+            found.append((w.lower(), dotted))
+        else:
+            found += [(p.lower(), dotted) for p in CAMEL.split(w)]
     words = [(w, d) for w, d in found if w not in ("and", "und", "et", "y", "the")]
     if len(words) > 1:
         kept = [x for i, x in enumerate(words) if not (legal(x[0]) and i > 0)]
