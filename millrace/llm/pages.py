@@ -89,8 +89,8 @@ def common_capitals(pages: DataFrame) -> frozenset:
 
 
 def with_counts(news: DataFrame) -> DataFrame:
-    """news_id, host, headline, text, marks, host_pages of each record with a text."""
-    pages = news.select("news_id", F.col("source.name").alias("host"), F.col("content.headline").alias("headline"), F.col("content.full_text").alias("text"))
+    """news_id, host, url, headline, text, marks, host_pages of each record with a text."""
+    pages = news.select("news_id", F.col("source.name").alias("host"), F.col("source.url").alias("url"), F.col("content.headline").alias("headline"), F.col("content.full_text").alias("text"))
     marks, size = element_counts(pages.filter("text IS NOT NULL"))
     size = size.withColumnRenamed("host", "size_host")
     joined = pages.join(marks, "news_id", "left")
