@@ -15,12 +15,10 @@ from __future__ import annotations
 import re
 from collections import Counter
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from millrace.session import table
+from millrace.session import materialize
 
 FRINGE = " \t\r\ufeff\u200b"
 SPACES = {0xA0: " ", 0x2009: " ", 0x202F: " "}
@@ -29,6 +27,7 @@ SHARE, LEAST = 0.05, 3  # of a host's pages, and pages at least, that make an el
 ELSEWHERE = 3  # pages anywhere that make an element recurring
 LONG = 150  # letters from which a line that isn't template is a paragraph of the article
 LONGEST_TEMPLATE = 140
+LONGEST_UNDER = 230  # letters of a line that stands under a header
 
 # Beginnings of headers that announce other stories.
 HEADERS = re.compile(
@@ -56,26 +55,39 @@ NAME = re.compile(r"(?<=[\w,;»”] )[A-ZÀ-Ý][\w'-]{3,}")
 
 
 def element_hash(line: Column, host: Column) -> Column:
-    """Hash of a line without its numbers and the site's name; null for a blank one."""
-    bare = F.trim(line, F.lit(" \t\r ﻿​"))
+    """Hash of a line, of a short one without its numbers and the site's name; null for a blank one."""
+    bare = F.trim(F.translate(line, "\u00a0\u2009\u202f", "   "), F.lit(FRINGE))
     masked = F.lower(F.regexp_replace(F.replace(bare, F.coalesce(host, F.lit("\u0001")), F.lit("\u0001")), "[0-9]+", "0"))
-    return F.when(F.length(bare) > 0, F.xxhash64(masked))
+    # a line too long for a template is only compared with its exact copies
+    return F.when(F.length(bare) > LONGEST_TEMPLATE, F.xxhash64(bare)).when(F.length(bare) > 0, F.xxhash64(masked))
 
 
-def element_counts(pages: DataFrame) -> DataFrame:
-    """news_id, marks, host_pages: per page the recurring lines as (pos, here, all, hosts): pages of the host and of all
-    hosts that carry the element, and hosts. ``pages``: news_id, host, text."""
+def hashed_lines(pages: DataFrame) -> DataFrame:
+    """news_id, host, hashes (null for blank lines) of each page with a text, hashed once for all later passes."""
     hashes = F.transform(F.split("text", "\n"), lambda x: element_hash(x, F.col("host")))
-    lines = pages.select("news_id", "host", hashes.alias("hashes"))
-    once = lines.select("host", F.explode(F.array_distinct(F.concat(F.filter("hashes", lambda h: h.isNotNull()), F.array(F.lit(0).cast("long"))))).alias("h"))
+    return materialize(pages.filter("text IS NOT NULL").select("news_id", "host", hashes.alias("hashes")), "hashes")
+
+
+def element_counts(lines: DataFrame) -> DataFrame:
+    """host, h, here, all of the elements that more than one page carries: pages of the host, and of all hosts."""
+    once = lines.select("host", F.explode(F.array_distinct(F.filter("hashes", lambda h: h.isNotNull()))).alias("h"))
     per_host = once.groupBy("host", "h").agg(F.count(F.lit(1)).alias("here"))
-    spread = per_host.groupBy("h").agg(F.sum("here").alias("all"), F.count(F.lit(1)).alias("hosts")).filter(f"all >= 2 AND h <> 0")
-    recurring = per_host.join(spread, "h")
-    size = per_host.filter("h = 0").select("host", F.col("here").alias("host_pages"))
-    placed = lines.select("news_id", "host", F.posexplode("hashes").alias("pos", "h")).filter("h IS NOT NULL")
-    marked = placed.join(recurring, (placed["host"].eqNullSafe(recurring["host"])) & (placed["h"] == recurring["h"])).select("news_id", F.struct("pos", "here", "all", "hosts").alias("m"))
+    anywhere = per_host.groupBy("h").agg(F.sum("here").alias("all")).filter("all >= 2")
+    return per_host.join(anywhere, "h")
+
+
+def with_counts(pages: DataFrame, lines: DataFrame) -> DataFrame:
+    """``pages`` (news_id, host, ...) with marks, the packed positions and counts of recurring lines, and host_pages."""
+    recurring = element_counts(lines).select(F.col("host").alias("r_host"), F.col("h").alias("r_h"), "here", "all")
+    placed = lines.join(pages.select("news_id"), "news_id", "left_semi") if pages is not lines else lines
+    placed = placed.select("news_id", "host", F.posexplode("hashes").alias("pos", "h")).filter("h IS NOT NULL")
+    cap = F.lit((1 << 20) - 1)
+    packed = F.shiftleft(F.col("pos").cast("long"), 40) + F.shiftleft(F.least("here", cap), 20) + F.least("all", cap)
+    marked = placed.join(recurring, (F.col("h") == F.col("r_h")) & F.col("host").eqNullSafe(F.col("r_host"))).select("news_id", packed.alias("m"))
     marks = marked.groupBy("news_id").agg(F.collect_list("m").alias("marks"))
-    return marks, size
+    size = lines.groupBy(F.col("host").alias("size_host")).agg(F.count(F.lit(1)).alias("host_pages"))
+    joined = pages.join(marks, "news_id", "left")
+    return joined.join(size, F.col("host").eqNullSafe(F.col("size_host")), "left").drop("size_host")
 
 
 def common_capitals(pages: DataFrame) -> frozenset:
@@ -88,13 +100,8 @@ def common_capitals(pages: DataFrame) -> frozenset:
     return frozenset(r["w"] for r in rows)
 
 
-def with_counts(news: DataFrame) -> DataFrame:
-    """news_id, host, url, headline, text, marks, host_pages of each record with a text."""
-    pages = news.select("news_id", F.col("source.name").alias("host"), F.col("source.url").alias("url"), F.col("content.headline").alias("headline"), F.col("content.full_text").alias("text"))
-    marks, size = element_counts(pages.filter("text IS NOT NULL"))
-    size = size.withColumnRenamed("host", "size_host")
-    joined = pages.join(marks, "news_id", "left")
-    return joined.join(size, F.col("host").eqNullSafe(F.col("size_host")), "left").drop("size_host")
+def pages_of(news: DataFrame) -> DataFrame:
+    return news.select("news_id", F.col("source.name").alias("host"), F.col("source.url").alias("url"), F.col("content.headline").alias("headline"), F.col("content.full_text").alias("text"))
 
 
 class Page:
@@ -107,8 +114,9 @@ class Page:
         n = len(self.lines)
         here, everywhere = [1] * n, [1] * n
         for m in marks if marks is not None else ():
-            if m["pos"] < n:
-                here[m["pos"]], everywhere[m["pos"]] = m["here"], m["all"]
+            m = int(m)
+            if (pos := m >> 40) < n:
+                here[pos], everywhere[pos] = m >> 20 & 0xFFFFF, m & 0xFFFFF
         need = max(LEAST, SHARE * (host_pages or 1))
         # copies of one article share all their paragraphs: what recurs no more than those is not the site's
         long_counts = sorted(everywhere[i] for i in range(n) if len(self.lines[i]) >= LONG and everywhere[i] >= 2)
@@ -150,7 +158,7 @@ class Page:
                 j = i + 1
                 while j < n and self.kind[j] in ("R", "U"):
                     x = self.lines[j]
-                    if x == self.headline or len(x) > 230 or (self.kind[j] == "U" and self.coherent(x)):
+                    if x == self.headline or len(x) > LONGEST_UNDER or (self.kind[j] == "U" and self.coherent(x)):
                         break
                     out.add(j)
                     j += 1
