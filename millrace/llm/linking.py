@@ -12,6 +12,7 @@ complete, then more frequent, then smaller form; a form is never attached to a l
 
 from __future__ import annotations
 
+import functools
 import math
 
 import pandas as pd
@@ -52,6 +53,14 @@ def limit(length: int) -> float:
     return 0.0 if length < 5 else 1.0 if length < 8 else 1.75 if length < 12 else 2.6
 
 
+mask_of = functools.lru_cache(200_000)(letter_mask)
+
+
+def may_be(x: str, y: str) -> bool:
+    """Whether two edits can turn one word into the other: an edit changes two letters at most, at 0.75 or more."""
+    return x == y or (mask_of(x) ^ mask_of(y)).bit_count() * 0.375 <= 2.0
+
+
 def channel_cost(variant: Name, meant: Name) -> float:
     """Edits that the channel took from ``meant`` to ``variant``; inf if it can't have."""
     if meant.initials:
@@ -88,9 +97,12 @@ def channel_cost(variant: Name, meant: Name) -> float:
             return extra + weighted_distance(a[0], b[0], min(limit(len(a[0]) + len(variant.sector)), limit(len(b[0]) + len(meant.sector))))
         best = math.inf
         for k in range(len(b)):
-            turned = b[k:] + b[:k]
-            costs = [weighted_distance(x, y, 2.0 if min(len(x), len(y)) >= 6 else 1.0) for x, y in zip(a, turned)]
-            best = min(best, sum(costs) + (TURNED if k else 0))
+            cost = TURNED if k else 0.0
+            for x, y in zip(a, b[k:] + b[:k]):
+                cost += weighted_distance(x, y, 2.0 if min(len(x), len(y)) >= 6 else 1.0) if may_be(x, y) else math.inf
+                if cost > 3.2:
+                    break
+            best = min(best, cost)
         return extra + best if best <= 3.2 else math.inf
     if 1 in (len(a), len(b)):  # words joined or split
         x, y = "".join(a), "".join(b)
@@ -138,8 +150,9 @@ def meant_keys(form: str) -> set[str]:
     out = variant_keys(form)
     if len(name.core) == 2:
         x, y = name.core
-        for joined in (x + y, y + x, x + y + name.sector, y + x + name.sector, y + name.sector + x):
-            out |= {"+" + d for d in deletes(joined, 1)}
+        out |= {"+" + d for joined in (x + y, y + x) for d in deletes(joined, 1)}
+        if name.sector:  # longer: met exactly, or with a letter too many in the variant
+            out |= {"+" + joined for joined in (x + y + name.sector, y + x + name.sector, y + name.sector + x)}
     elif len(name.core) == 1 and name.sector:
         out |= {"+" + d for d in deletes(name.core[0] + name.sector, 1)}
     return out

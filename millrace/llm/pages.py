@@ -56,7 +56,7 @@ NAME = re.compile(r"(?<=[\w,;»”] )[A-ZÀ-Ý][\w'-]{3,}")
 
 def element_hash(line: Column, host: Column) -> Column:
     """Hash of a line, of a short one without its numbers and the site's name; null for a blank one."""
-    bare = F.trim(F.translate(line, "\u00a0\u2009\u202f", "   "), F.lit(FRINGE))
+    bare = F.trim(line, F.lit(FRINGE))
     masked = F.lower(F.regexp_replace(F.replace(bare, F.coalesce(host, F.lit("\u0001")), F.lit("\u0001")), "[0-9]+", "0"))
     # a line too long for a template is only compared with its exact copies
     return F.when(F.length(bare) > LONGEST_TEMPLATE, F.xxhash64(bare)).when(F.length(bare) > 0, F.xxhash64(masked))
@@ -64,7 +64,10 @@ def element_hash(line: Column, host: Column) -> Column:
 
 def hashed_lines(pages: DataFrame) -> DataFrame:
     """news_id, host, hashes (null for blank lines) of each page with a text, hashed once for all later passes."""
-    hashes = F.transform(F.split("text", "\n"), lambda x: element_hash(x, F.col("host")))
+    plain = F.col("text")
+    for space in SPACES:
+        plain = F.replace(plain, F.lit(chr(space)), F.lit(" "))
+    hashes = F.transform(F.split(plain, "\n"), lambda x: element_hash(x, F.col("host")))
     return materialize(pages.filter("text IS NOT NULL").select("news_id", "host", hashes.alias("hashes")), "hashes")
 
 
@@ -133,9 +136,15 @@ class Page:
                 self.kind.append("R")
             else:
                 self.kind.append("U")
-        self.names = self._names()
+        self._found: set[str] | None = None
         self.under = self._subtrees()
 
+    @property
+    def names(self) -> set[str]:
+        if self._found is None:
+            self._found = self._names()
+        return self._found
+
     def _names(self) -> set[str]:
         """Words of the page that name its subject: not common in the corpus, capitalised inside sentences of at least two paragraphs, or of a paragraph and the headline."""
         seen: Counter = Counter()
