@@ -33,12 +33,13 @@ def valid_url(url: Column) -> Column:
 
 
 def bot_walled(html: Column, status: Column) -> Column:
-    """A bot check, a nearly empty page, or a 403."""
+    """A bot check, a nearly empty page (null is empty), or a 403."""
+    html = F.coalesce(html, F.lit(""))
     low = F.lower(html)
     marked = F.lit(False)
     for marker in BOT_WALL:
         marked = marked | F.contains(low, F.lit(marker))
-    return F.coalesce(marked | (F.length(py_strip(html)) < 200) | (status == 403), status == 403, F.lit(True))
+    return marked | (F.length(py_strip(html)) < 200) | F.coalesce(status == 403, F.lit(False))
 
 
 def first_line(text: Column, most: int) -> Column:
