@@ -124,7 +124,7 @@ def without_legal_tail(words: list[tuple[str, bool]]) -> list[tuple[str, bool]]:
     """Without the legal forms, some with a typo or in pieces, that end a name. What is left has a word of three letters."""
     while len(words) > 1:
         w = words[-1][0]
-        if len(w) == 3 and w not in SHORT and near(w, "ai") and not any(sector_of(x) for x, _ in words[:-1]):
+        if len(w) in (2, 3) and w not in SHORT and w not in LEGAL and near(w, "ai") and not any(sector_of(x) for x, _ in words[:-1]):
             return [*words[:-1], ("ai", False)]
         small = len(w) <= 2 and w not in SECTORS and w not in SHORT and any(len(x) > 2 for x, _ in words[:-1])
         if len(w) == 1 and (len(words) == 2 or not words[-2][0] in SECTORS and len(words[-2][0]) > 2):

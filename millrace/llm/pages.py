@@ -182,10 +182,10 @@ class Page:
         own = []
         for i in range(n):
             x, k = self.lines[i], self.kind[i]
-            if k in ("", "T") or i in self.under:
-                own.append(False)
-            elif x == self.headline and x:
+            if x and x == self.headline and i not in self.under:
                 own.append(True)
+            elif k in ("", "T") or i in self.under:
+                own.append(False)
             elif k == "U":
                 own.append(not (LABELLED.match(x) and len(x) < LONG and (not SENTENCE_END.search(x) or LABEL_END.match(x))))
             else:
