@@ -25,10 +25,13 @@ from millrace.llm.matching import reference_entries
 from millrace.llm.names import SECTORS, Name, letter_mask, parse, says_nothing
 from millrace.session import materialize, table
 
-FREQUENT = 4  # records that make a form a candidate of the first round
+#: Records from which a form is met by the rarer ones, level by level: each level first meets the roots above it.
+LEVELS = (32, 4, 0)
 EDIT = 4.6  # -log probability of one edit
 DROPPED, INITIAL, TURNED, JOINED = 0.4, 0.3, 0.1, 0.1  # in edits
 CLEAR = 3
+LARGEST = 1 << 62
+LISTED = 8  # records that being on the reference list stands for
 OWN = 10.0  # posterior that a form beyond this many nats is an organisation of its own
 
 
@@ -167,23 +170,26 @@ def with_keys(forms: DataFrame, keys) -> DataFrame:
             yield pd.DataFrame(
                 {
                     "id": b["id"], "n": b["n"], "mask": b["form"].map(signature), "key": b["form"].map(lambda f: list(keys(f))),
-                    "sector": [SECTORS.index(p[1]) if p[1] else -1 for p in parts], "initial": [bool(p[2]) for p in parts], "words": [p[0].count(" ") + 1 for p in parts],
+                    "whole": [completeness(name_of(f)) for f in b["form"]], "sector": [SECTORS.index(p[1]) if p[1] else -1 for p in parts], "initial": [bool(p[2]) for p in parts], "words": [p[0].count(" ") + 1 for p in parts],
                 }
             ).explode("key").dropna()
 
-    out = forms.select("id", "form", "n").mapInPandas(emit, "id long, n long, mask long, key string, sector int, initial boolean, words int")
+    out = forms.select("id", "form", "n").mapInPandas(emit, "id long, n long, mask long, key string, whole int, sector int, initial boolean, words int")
     return out.withColumn("key", F.xxhash64("key"))
 
 
 def attach(variants: DataFrame, candidates: DataFrame, forms: DataFrame) -> DataFrame:
     """form, parent: each variant's most probable candidate, where one is in reach and ranks before it."""
     left = with_keys(variants, variant_keys)
-    right = with_keys(candidates, meant_keys).filter("NOT initial").select([F.col(c).alias("m_" + c) for c in ("id", "n", "mask", "sector", "words")] + ["key"])
+    right = with_keys(candidates, meant_keys).filter("NOT initial").select([F.col(c).alias("m_" + c) for c in ("id", "n", "mask", "whole", "sector", "words")] + ["key"])
     apart = F.bit_count(F.col("mask").bitwiseXOR(F.col("m_mask")))
     fits = (F.col("sector") == F.col("m_sector")) | (F.col("sector") == -1)
     # what the channel can't do is left out before the pairs are shuffled: a mask differs by two bits an edit at most
     same = (F.col("words") != F.col("m_words")) | F.col("initial") | (apart <= 7)
-    pairs = left.join(right, (left["key"] == right["key"]) & (F.col("id") != F.col("m_id")) & fits & same).select("id", "m_id").distinct()
+    # a form is only attached to one that is more complete, or as complete and more frequent (ties: the smaller id)
+    alike = F.col("m_whole") == F.col("whole")
+    before = (F.col("m_whole") > F.col("whole")) | (alike & ((F.col("m_n") > F.col("n")) | ((F.col("m_n") == F.col("n")) & (F.col("m_id") < F.col("id"))))) | ((F.col("m_n") > F.col("n")) & ~alike)
+    pairs = left.join(right, (left["key"] == right["key"]) & (F.col("id") != F.col("m_id")) & before & fits & same).select("id", "m_id").distinct()
     named = pairs.join(forms.select(F.col("id").alias("m_id"), F.col("form").alias("meant"), F.col("n").alias("n_meant")), "m_id").join(forms.select("id", "form", "n"), "id")
 
     def judge(batches):
@@ -192,8 +198,7 @@ def attach(variants: DataFrame, candidates: DataFrame, forms: DataFrame) -> Data
             score, order = [], []
             for v, nv, c, nc in zip(b["form"], b["n"], b["meant"], b["n_meant"]):
                 x, y = names[v], names[c]
-                before = (-completeness(y), -nc, c) < (-completeness(x), -nv, v) if completeness(x) != completeness(y) else (-nc, c) < (-nv, v)
-                score.append(posterior(x, nv, y, nc) if before else -math.inf)
+                score.append(posterior(x, nv, y, nc))
                 order.append(completeness(y))
             yield b.assign(score=score, whole=order)[["form", "meant", "n_meant", "score", "whole"]].query("score > 0")
 
@@ -227,21 +232,34 @@ def link_forms(forms: DataFrame, reference: DataFrame | None = None) -> DataFram
     extra = extra.unionByName(listed.select("form", F.lit(0).cast("long").alias("n"))).distinct()
     all_forms = forms.filter("form <> ''").unionByName(extra).groupBy("form").agg(F.sum("n").alias("n"))
     fixed = F.broadcast(listed.groupBy("form").agg(F.min("parent").alias("parent"))).withColumn("listed", F.lit(True))
-    all_forms = all_forms.join(fixed.select("form", "listed"), "form", "left").select(F.xxhash64("form").alias("id"), "form", F.when(F.col("listed"), F.greatest("n", F.lit(FREQUENT))).otherwise(F.col("n")).alias("n"), F.coalesce("listed", F.lit(False)).alias("listed"))
+    all_forms = all_forms.join(fixed.select("form", "listed"), "form", "left").select(F.xxhash64("form").alias("id"), "form", F.when(F.col("listed"), F.greatest("n", F.lit(LISTED))).otherwise(F.col("n")).alias("n"), F.coalesce("listed", F.lit(False)).alias("listed"))
     all_forms = materialize(all_forms, "forms")
     free = all_forms.filter("NOT listed")
-    first = materialize(attach(free, all_forms.filter(f"n >= {FREQUENT}"), all_forms), "attached")
-    alone = materialize(free.filter(f"n < {FREQUENT}").join(first.select("form"), "form", "left_anti"), "alone")
-    second = materialize(attach(alone, alone, alone), "attached")
-    fixed = fixed.drop("listed")
-    links = first.unionByName(second).unionByName(fixed.filter("form <> parent"))
-    top = roots(links)
-    placed = all_forms.join(top, "form", "left").select("form", "n", F.coalesce("root", "form").alias("root"))
+    # the reference list's spellings are met like roots from the start; those that mean another one are links already
+    top = all_forms.filter("listed").select("id", "form", "n")
+    links, above = fixed.filter("form <> parent").select("form", "parent"), LARGEST
+    for least in LEVELS:
+        level = free.filter((F.col("n") >= least) & (F.col("n") < above)).select("id", "form", "n")
+        up = materialize(attach(level, top, all_forms), "up")
+        rest = materialize(level.join(up.select("form"), "form", "left_anti"), "rest")
+        among = materialize(attach(rest, rest, rest), "among")
+        top = top.unionByName(rest.join(among.select("form"), "form", "left_anti").select("id", "form", "n"))
+        links, above = links.unionByName(up).unionByName(among), least
+    # forms without sector or with initials may stand for a more complete one that is rarer
+    top = materialize(top, "top")
+    partial = top.filter(r"form RLIKE ' .*[|][|]$|[|][^|]+$'").join(listed_only(all_forms), "form", "left_anti")
+    late = materialize(attach(partial, top, top), "late")
+    links = links.unionByName(late)
+    placed = all_forms.join(roots(links), "form", "left").select("form", "n", F.coalesce("root", "form").alias("root"))
     placed = materialize(placed, "placed")
     nick = materialize(short_names(placed), "short")
     return placed.join(nick, "form", "left").select("form", F.coalesce("whole", "root").alias("root"))
 
 
+def listed_only(forms: DataFrame) -> DataFrame:
+    return forms.filter("listed").select("form")
+
+
 def short_names(placed: DataFrame) -> DataFrame:
     """form, whole: one-word names without sector that are the first word of one two-word organisation, or of one that
     has ``CLEAR`` times the records of the next."""
@@ -267,8 +285,9 @@ def organisations(spark, sf_dir: str) -> DataFrame:
     listings = startups.groupBy("listing_id").agg(F.max(F.when(raw.rlike(said), raw)).alias("raw"), F.min("content.entityname").alias("named"))
     listings = listings.select(F.concat(F.lit("startup:"), F.lpad(F.col("listing_id").cast("string"), 10, "0")).alias("key"), F.coalesce("raw", "named").alias("raw"))
     jobs = table(spark, sf_dir, "jobs").filter("job_id IS NOT NULL").select(F.concat(F.lit("job:"), F.lpad(F.col("job_id").cast("string"), 10, "0")).alias("key"), F.col("content.rawcompany").alias("raw"))
-    both = listings.withColumn("is_job", F.lit(False)).unionByName(jobs.withColumn("is_job", F.lit(True)))
-    return both.filter(F.col("raw").rlike(said)).select("key", "is_job", to_form("raw").alias("form")).filter("form <> ''")
+    both = listings.withColumn("is_job", F.lit(False)).unionByName(jobs.withColumn("is_job", F.lit(True))).filter(F.col("raw").rlike(said))
+    forms = both.select(F.col("raw").alias("spelled")).distinct().select("spelled", to_form("spelled").alias("form")).filter("form <> ''")
+    return both.join(forms, F.col("raw") == F.col("spelled")).select("key", "is_job", "form")
 
 
 def linked(spark, sf_dir: str) -> DataFrame:

@@ -63,12 +63,16 @@ def element_hash(line: Column, host: Column) -> Column:
 
 
 def hashed_lines(pages: DataFrame) -> DataFrame:
-    """news_id, host, hashes (null for blank lines) of each page with a text, hashed once for all later passes."""
+    """news_id, host, hashes (null for blank lines), capitals of each page with a text, made once for all later passes.
+    ``capitals`` are the capitalised words of its lines that are short enough to stand under a header."""
     plain = F.col("text")
     for space in SPACES:
         plain = F.replace(plain, F.lit(chr(space)), F.lit(" "))
-    hashes = F.transform(F.split(plain, "\n"), lambda x: element_hash(x, F.col("host")))
-    return materialize(pages.filter("text IS NOT NULL").select("news_id", "host", hashes.alias("hashes")), "hashes")
+    lines = F.split(plain, "\n")
+    hashes = F.transform(lines, lambda x: element_hash(x, F.col("host")))
+    short = F.array_join(F.filter(lines, lambda x: F.length(x).between(30, LONGEST_UNDER)), "\n")
+    capitals = F.array_distinct(F.regexp_extract_all(short, F.lit(r"\b[A-ZÀ-Ý][\p{L}\d'-]{3,}"), F.lit(0)))
+    return materialize(pages.filter("text IS NOT NULL").select("news_id", "host", hashes.alias("hashes"), capitals.alias("capitals")), "hashes")
 
 
 def element_counts(lines: DataFrame) -> DataFrame:
@@ -93,13 +97,11 @@ def with_counts(pages: DataFrame, lines: DataFrame) -> DataFrame:
     return joined.join(size, F.col("host").eqNullSafe(F.col("size_host")), "left").drop("size_host")
 
 
-def common_capitals(pages: DataFrame) -> frozenset:
-    """Capitalised words that at least ``COMMON`` of all pages carry: at most words-of-a-page / COMMON of them, some
-    thousands at any number of pages. Counted over all pages."""
-    words = pages.select(F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"\b[A-ZÀ-Ý][\p{L}\d'-]{3,}"), F.lit(0)))).alias("w"))
-    counted = words.groupBy("w").agg(F.count(F.lit(1)).alias("n"))
-    pages_n = pages.filter("text IS NOT NULL").count()
-    rows = counted.filter((F.col("n") >= max(5, COMMON * pages_n))).select("w").collect()
+def common_capitals(lines: DataFrame) -> frozenset:
+    """Capitalised words that the short lines of at least ``COMMON`` of all pages carry: at most words-of-a-page / COMMON
+    of them, some thousands at any number of pages. Counted over all pages."""
+    counted = lines.select(F.explode("capitals").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    rows = counted.filter(F.col("n") >= max(5, COMMON * lines.count())).select("w").collect()
     return frozenset(r["w"] for r in rows)
 
 
