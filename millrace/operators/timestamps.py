@@ -237,6 +237,9 @@ def normalize_instants(df: DataFrame, text: Column, zone: Column, day_order: Col
     def convert(t: pd.Series, m: pd.Series, z: pd.Series, o: pd.Series, n: pd.Series) -> pd.Series:
         return instants(t, m, z, o, n, version)
 
+    # else a filter on the result is pushed below the projection and the texts are parsed twice
+    convert = convert.asNondeterministic()
+
     clean = F.regexp_replace(F.regexp_replace(text, r"(?U)[\s​﻿]+", " "), "^ | $", "")
     clean = F.when(F.length(clean) <= MAX_LEN, F.when(clean.rlike("[0-9]"), clean))
     now = F.unix_micros(F.try_to_timestamp(reference.cast("string")))
