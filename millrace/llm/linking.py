@@ -286,8 +286,9 @@ def organisations(spark, sf_dir: str) -> DataFrame:
     listings = listings.select(F.concat(F.lit("startup:"), F.lpad(F.col("listing_id").cast("string"), 10, "0")).alias("key"), F.coalesce("raw", "named").alias("raw"))
     jobs = table(spark, sf_dir, "jobs").filter("job_id IS NOT NULL").select(F.concat(F.lit("job:"), F.lpad(F.col("job_id").cast("string"), 10, "0")).alias("key"), F.col("content.rawcompany").alias("raw"))
     both = listings.withColumn("is_job", F.lit(False)).unionByName(jobs.withColumn("is_job", F.lit(True))).filter(F.col("raw").rlike(said))
-    forms = both.select(F.col("raw").alias("spelled")).distinct().select("spelled", to_form("spelled").alias("form")).filter("form <> ''")
-    return both.join(forms, F.col("raw") == F.col("spelled")).select("key", "is_job", "form")
+    # written before it is filtered: else the filter, and with it the parsing, is pushed below the distinct and the join
+    forms = materialize(both.select(F.col("raw").alias("spelled")).distinct().select("spelled", to_form("spelled").alias("form")), "forms")
+    return both.join(forms.filter("form <> ''"), F.col("raw") == F.col("spelled")).select("key", "is_job", "form")
 
 
 def linked(spark, sf_dir: str) -> DataFrame:

@@ -141,6 +141,8 @@ def map_names(records: DataFrame, name_col: str, reference: DataFrame, out: str
         find = dictionary.value.find
         return raw.map(find)
 
+    entry = entry.asNondeterministic()  # a filter on the result must not look names up again
+
     mapped = known.filter("ord IS NULL").select("__raw", entry("__raw").alias("__ord"))
     # rows of one hot spelling are split by the adaptive skew join: the distinct side has one row a spelling
     return records.join(mapped, F.col(name_col) == F.col("__raw")).withColumn(out, F.col("__ord")).drop("__raw", "__ord")
