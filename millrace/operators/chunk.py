@@ -66,7 +66,9 @@ def chunk(df: DataFrame, key: str, text: str, most: int = 6000, overlap: int = 1
             rows = [(k, i, c) for k, x in zip(b[key], b["clean"]) for i, c in enumerate(pack(x, most, overlap))]
             yield pd.DataFrame(rows, columns=[key, "index", "text"])
 
-    long = clean.filter(~fits).mapInPandas(run, f"{key} {kind}, index int, text string")
+    # the key travels as text: null keys stay null in Arrow batches, and large ones exact
+    as_text = clean.filter(~fits).withColumn(key, F.col(key).cast("string"))
+    long = as_text.mapInPandas(run, f"{key} string, index int, text string").withColumn(key, F.col(key).cast(kind))
     return short.unionByName(long).withColumn("estimated_tokens", estimate_tokens(F.col("text")))
 
 

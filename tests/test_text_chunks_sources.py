@@ -59,6 +59,8 @@ def test_chunks(spark):
     assert chunked(spark, "short", 6000) == [(0, "short", 1)]
     assert chunked(spark, "", 6000) == [(0, "", 1)]
     assert chunked(spark, None, 6000) == []
+    keyless = spark.createDataFrame([(None, "y" * 900), (2**60 + 1, "z" * 900)], "id long, text string")
+    assert {(r["id"], r["index"]) for r in chunks.chunk(keyless, "id", "text", 200).collect()} == {(None, 0), (None, 1), (2**60 + 1, 0), (2**60 + 1, 1)}
     hard = chunked(spark, "y" * 200_000, 1000)
     assert len(hard) == 50 and max(c[2] for c in hard) <= 1000
     paragraph = "Sentence number one here. " * 50
