@@ -74,7 +74,9 @@ def word_table(split: DataFrame, path: str) -> DataFrame:
 def encode_corpus(docs: DataFrame, key: str, text: str, path: str = DEFAULT_VOCABULARY) -> DataFrame:
     """key, ids of every row of ``docs``."""
     spark = docs.sparkSession
-    split = docs.select(F.col(key).alias("__key"), F.monotonically_increasing_id().alias("__row"), split_words(F.coalesce(F.col(text), F.lit(""))).alias("words"))
+    # the key travels as text: null keys stay null in Arrow batches, and large ones exact
+    kind = docs.schema[key].dataType.simpleString()
+    split = docs.select(F.col(key).cast("string").alias("__key"), F.monotonically_increasing_id().alias("__row"), split_words(F.coalesce(F.col(text), F.lit(""))).alias("words"))
     split = materialize(split, "words")
     encoded = word_table(split, path)
     # count, then word, decides: the head is the same whatever the partitions. It is bounded in words and letters.
@@ -97,8 +99,7 @@ def encode_corpus(docs: DataFrame, key: str, text: str, path: str = DEFAULT_VOCA
                 missing.append(rest)
             yield pd.DataFrame({"__key": b["__key"], "__row": b["__row"], "ids": ids, "missing": missing})
 
-    kind = split.schema["__key"].dataType.simpleString()
-    placed = materialize(split.mapInPandas(place, f"__key {kind}, __row long, ids array<int>, missing array<string>"), "placed")
+    placed = materialize(split.mapInPandas(place, "__key string, __row long, ids array<int>, missing array<string>"), "placed")
     gaps = placed.filter(F.size("missing") > 0)
     fills = gaps.select("__row", F.posexplode("missing").alias("pos", "word")).join(encoded.select("word", F.col("ids").alias("piece")), "word")
     fills = fills.groupBy("__row").agg(F.array_sort(F.collect_list(F.struct("pos", "piece"))).alias("fills"))
@@ -116,8 +117,8 @@ def encode_corpus(docs: DataFrame, key: str, text: str, path: str = DEFAULT_VOCA
 
         return pd.Series([one(r, p) for r, p in zip(ids, fills)])
 
-    filled = gaps.select("__key", "__row", "ids").join(fills, "__row").select(F.col("__key").alias(key), fill("ids", "fills").alias("ids"))
-    return placed.filter(F.size("missing") == 0).select(F.col("__key").alias(key), "ids").unionByName(filled)
+    filled = gaps.select("__key", "__row", "ids").join(fills, "__row").select(F.col("__key").cast(kind).alias(key), fill("ids", "fills").alias("ids"))
+    return placed.filter(F.size("missing") == 0).select(F.col("__key").cast(kind).alias(key), "ids").unionByName(filled)
 
 
 def vocabulary(spark, path: str = DEFAULT_VOCABULARY) -> DataFrame:

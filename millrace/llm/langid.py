@@ -244,7 +244,7 @@ def lines_with_language(docs: DataFrame, model: Model) -> DataFrame:
                     out.append((doc, said, n, letters, m.languages[best], posterior(s, best), m.languages[main], doc_confidence, mixed))
             yield pd.DataFrame(out, columns=["doc_id", "said", "line_no", "letters", "lang", "confidence", "doc_lang", "doc_confidence", "mixed"])
 
-    return docs.select("doc_id", "text", "lang").mapInPandas(run, "doc_id long, said string, line_no int, letters int, lang string, confidence double, doc_lang string, doc_confidence double, mixed boolean")
+    return docs.filter("doc_id IS NOT NULL").select("doc_id", "text", "lang").mapInPandas(run, "doc_id long, said string, line_no int, letters int, lang string, confidence double, doc_lang string, doc_confidence double, mixed boolean")
 
 
 def posterior(scores: np.ndarray, at: int) -> float:

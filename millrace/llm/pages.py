@@ -106,7 +106,8 @@ def common_capitals(lines: DataFrame) -> frozenset:
 
 
 def pages_of(news: DataFrame) -> DataFrame:
-    return news.select("news_id", F.col("source.name").alias("host"), F.col("source.url").alias("url"), F.col("content.headline").alias("headline"), F.col("content.full_text").alias("text"))
+    """Records without an id can't be reported and are left out."""
+    return news.filter("news_id IS NOT NULL").select("news_id", F.col("source.name").alias("host"), F.col("source.url").alias("url"), F.col("content.headline").alias("headline"), F.col("content.full_text").alias("text"))
 
 
 class Page:

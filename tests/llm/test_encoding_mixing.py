@@ -12,14 +12,14 @@ TEXTS = [None, "", " ", "\n\n", "Hello  world!\n\n it's 2025 – naïve Straße"
 
 
 def test_encoding(spark):
-    rows = [(i, t, 1, "k") for i, t in enumerate(TEXTS)] + [(4, TEXTS[4], 1, "k")]
+    rows = [(i, t, 1, "k") for i, t in enumerate(TEXTS)] + [(4, TEXTS[4], 1, "k"), (None, None, None, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, ids int, word string").repartition(3)
     got = [(r["doc_id"], r["ids"]) for r in encode_corpus(df, "doc_id", "text").collect()]
     assert len(got) == len(rows)
     enc = encoder("/opt/tokenizers/byte_bpe_50k.tiktoken")
     for doc, ids in got:
-        assert ids == enc.encode_ordinary(TEXTS[doc] or ""), doc
-    once = encode_corpus(df.dropDuplicates(["doc_id"]), "doc_id", "text")
+        assert ids == enc.encode_ordinary(TEXTS[doc] or "" if doc is not None else ""), doc
+    once = encode_corpus(df.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]), "doc_id", "text")
     back = {r["doc_id"]: r["text"] for r in decode_corpus(once, "doc_id").collect()}
     assert back == {i: t or "" for i, t in enumerate(TEXTS)}
     assert encode_corpus(df.limit(0), "doc_id", "text").count() == 0

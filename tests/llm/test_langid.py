@@ -30,7 +30,7 @@ def test_held_out_accuracy(spark, parts):
 
 def test_segments_and_nothing(spark, parts):
     model = parts[2]
-    rows = [(1, "The group found three faults in its software last week.\n\nDas Unternehmen eröffnet ein zweites Büro in der Stadt und nennt keine Gründe.\nThe numbers remain thin, according to people close to the matter.", "en"), (2, None, "en"), (3, "", ""), (4, " \n\t", "de"), (5, "404 ... 12", None), (6, "for i in range(7):\n\tprint(i ** 2)\n", "en"), (7, "SELECT name, count(*) FROM t1 GROUP BY 1;", None), (8, "🚀🚀", "en"), (9, "Кто заплатит за это, пока неясно.", "en"), (10, "The company opened an office. " * 20_000, None)]
+    rows = [(1, "The group found three faults in its software last week.\n\nDas Unternehmen eröffnet ein zweites Büro in der Stadt und nennt keine Gründe.\nThe numbers remain thin, according to people close to the matter.", "en"), (2, None, "en"), (3, "", ""), (4, " \n\t", "de"), (5, "404 ... 12", None), (6, "for i in range(7):\n\tprint(i ** 2)\n", "en"), (7, "SELECT name, count(*) FROM t1 GROUP BY 1;", None), (8, "🚀🚀", "en"), (None, "The company opened an office.", None), (9, "Кто заплатит за это, пока неясно.", "en"), (10, "The company opened an office. " * 20_000, None)]
     got = [(r["doc_id"], r["line_no"], r["lang"], r["mixed"]) for r in lines_with_language(spark.createDataFrame(rows, "doc_id long, text string, lang string"), model).collect()]
     assert sorted(got) == [(1, 1, "en", True), (1, 3, "de", True), (1, 4, "en", True), (9, 1, "ru", False), (10, 1, "en", False)]
     assert fit_models(spark.createDataFrame([], "doc_id long, text string, lang string"), None) is None
