@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.text import normalized_name, py_strip
+from millrace.session import shuffle_width
 
 ACCEPT, REVIEW = 0.86, 0.70
 MAX_DIMENSION = 100_000
@@ -77,20 +78,22 @@ def fuzzy_tier(names: DataFrame, dim: DataFrame) -> DataFrame:
     def best(batches):
         keys = shared.value
         for b in batches:
-            out = []
-            for raw, name in zip(b["raw_name"], b["norm"]):
-                top, found = 0.0, None
-                matcher = difflib.SequenceMatcher()
-                for key, canonical in keys:
+            raws, norms = b["raw_name"].tolist(), b["norm"].tolist()
+            top, found = [0.0] * len(raws), [None] * len(raws)
+            matcher = difflib.SequenceMatcher()
+            for key, canonical in keys:
+                matcher.set_seq2(key)  # what the matcher learns of a key serves all names
+                size = len(key)
+                for i, name in enumerate(norms):
                     # the ratio can't exceed twice the shorter length over the sum: skip what can't win
-                    if name and 2 * min(len(name), len(key)) > top * (len(name) + len(key)):
-                        matcher.set_seqs(name, key)
-                        if matcher.quick_ratio() > top and (score := matcher.ratio()) > top:
-                            top, found = score, canonical
-                out.append((raw, found, top, round(top, 3)))
-            yield pd.DataFrame(out, columns=["raw_name", "fuzzy_name", "fuzzy_score", "fuzzy_rounded"])
-
-    return names.select("raw_name", "norm").mapInPandas(best, RESOLUTION)
+                    if name and 2 * min(len(name), size) > top[i] * (len(name) + size):
+                        matcher.set_seq1(name)
+                        if matcher.quick_ratio() > top[i] and (score := matcher.ratio()) > top[i]:
+                            top[i], found[i] = score, canonical
+            yield pd.DataFrame({"raw_name": raws, "fuzzy_name": found, "fuzzy_score": top, "fuzzy_rounded": [round(x, 3) for x in top]})
+
+    spread = names.select("raw_name", "norm").repartition(shuffle_width(names.sparkSession))  # few names are costly too
+    return spread.mapInPandas(best, RESOLUTION)
 
 
 def resolve(names: DataFrame, dim: DataFrame, name_col: str = "raw_name") -> DataFrame:
