@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from millrace.functions import dates, text
 from millrace.operators import chunk as chunks
 from millrace.operators import ingest, providers
-from millrace.operators.resolve import equality_tiers, mapping_log, resolve, review_queue
+from millrace.operators.resolve import equality_tiers, mapping_log, register, resolve, review_queue
 from millrace.session import table
 from millrace.sources import feeds, sinks
 
@@ -357,7 +357,41 @@ def feed_newest(spark, sf_dir):
     return feeds.newest(e, 100).select("capture_id")
 
 
+def feed_requests(spark, sf_dir):
+    """The requests that page through a feed of as many entries as there are papers."""
+    return feeds.feed_requests(spark, "https://feed.example/query", "cat:cs.AI", table(spark, sf_dir, "papers").count())
+
+
+def repo_links(spark, sf_dir):
+    papers = table(spark, sf_dir, "papers").select(F.col("content.paper_url").alias("paper_id")).filter("paper_id IS NOT NULL").distinct()
+    captured = papers.filter(F.length("paper_id") % 2 == 0).select("paper_id", F.concat(F.lit('{"paper": "'), "paper_id", F.lit('"}')).alias("body"))
+    return feeds.repo_links(papers, captured)
+
+
+def extraction_prompts(spark, sf_dir):
+    """Prompts of the chunks, with a schema hint full of braces."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "url", "text")
+    made = chunks.chunk(docs, "doc_id", "text", 10_000).join(docs.select("doc_id", "url"), "doc_id")
+    prompt = text.extraction_prompt(F.coalesce("url", F.lit("")), F.lit('{"title": "string"}'), F.col("text"))
+    return made.select("doc_id", "index", F.substring(prompt, 1, 60).alias("prompt_head"))
+
+
+def retry_after(spark, sf_dir):
+    k = F.col("n_nationkey")
+    body = F.when(k % 4 == 0, F.concat(F.lit('{"retry_after": '), k.cast("string"), F.lit("}"))).when(k % 4 == 1, F.concat(F.lit('{"retry_after": 0, "retryAfter": "'), k.cast("string"), F.lit('.5"}'))).when(k % 4 == 2, F.lit('{"retry_after": "soon"}')).otherwise("not json")
+    return table(spark, sf_dir, "nation").select("n_nationkey", text.retry_after(body).alias("seconds"))
+
+
+def resolve_registered(spark, sf_dir):
+    """A name that a new version of the dimension knows and the old one doesn't."""
+    dim = register(nation_dimension(spark, sf_dir), "Unrelated Trading House", ["UTH"])
+    names = raw_names(spark, sf_dir)
+    tiers = equality_tiers(names.select("raw_name").distinct(), dim)
+    return names.join(tiers, "raw_name").filter("canonical_name = 'Unrelated Trading House'").select("seq", "canonical_name", "confidence", "method")
+
+
 QUERIES = {
+    "feed_requests": feed_requests, "repo_links": repo_links, "extraction_prompts": extraction_prompts, "retry_after": retry_after, "resolve_registered": resolve_registered,
     "freshness_structured": freshness_structured, "date_relative": date_relative, "date_normalize": date_normalize, "news_ingest": news_ingest, "news_state": news_state, "job_ingest": job_ingest,
     "ingest_stats": ingest_stats, "content_hash_dedup": content_hash_dedup, "text_projections": text_projections, "resolve_exact_alias_norm": resolve_exact_alias_norm, "resolve_fuzzy": resolve_fuzzy,
     "mapping_log": mapping_log_query, "unresolved_anti": unresolved_anti, "review_queue": review, "page_fields": page_fields, "page_title": page_title, "page_host": page_host, "url_quarantine": url_quarantine,
@@ -369,6 +403,10 @@ QUERIES = {
 
 ASCII_DOC = r"regexp_full_match(text, '[\x21-\x7e][\x20-\x7e]*[\x21-\x7e]')"
 SQL = {
+    "feed_requests": "SELECT s AS start, 100 AS max_results, 'https://feed.example/query?search_query=cat:cs.AI&start=' || s || '&max_results=100&sortBy=submittedDate&sortOrder=descending' AS url FROM (SELECT unnest(range(0, (SELECT count(*) FROM papers), 100)) AS s)",
+    "repo_links": """SELECT DISTINCT content.paper_url AS paper_id, CASE WHEN length(content.paper_url) % 2 = 0 THEN '{"paper": "' || content.paper_url || '"}' END AS repositories FROM papers WHERE content.paper_url IS NOT NULL""",
+    "retry_after": "SELECT n_nationkey, CASE n_nationkey % 4 WHEN 0 THEN nullif(n_nationkey::DOUBLE, 0) WHEN 1 THEN n_nationkey + 0.5 END::DOUBLE AS seconds FROM nation",
+    "resolve_registered": "SELECT s_suppkey AS seq, 'Unrelated Trading House' AS canonical_name, 1.0::DOUBLE AS confidence, 'exact' AS method FROM supplier WHERE s_suppkey % 6 = 5",
     "freshness_structured": f"SELECT event_id, CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS ts_seconds FROM events WHERE date_trunc('second', ts) <= TIMESTAMP '{REFERENCE}' AND date_trunc('second', ts) >= TIMESTAMP '{REFERENCE}' - INTERVAL 24 HOUR",
     "date_relative": "SELECT event_id AS seq, CASE event_id % 4 WHEN 1 THEN (event_id % 60) * 3600 ELSE (event_id % 5) * 86400 END AS seconds_ago FROM events WHERE event_id % 4 IN (1, 2)",
     "date_normalize": CRAWL_SQL + "SELECT seq, strftime(pub, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS iso_timestamp, confidence, is_fresh AS is_fresh_24h FROM fresh",
