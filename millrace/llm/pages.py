@@ -93,7 +93,7 @@ def with_counts(pages: DataFrame, lines: DataFrame) -> DataFrame:
     marked = placed.join(recurring, (F.col("h") == F.col("r_h")) & F.col("host").eqNullSafe(F.col("r_host"))).select("news_id", packed.alias("m"))
     marks = marked.groupBy("news_id").agg(F.collect_list("m").alias("marks"))
     size = lines.groupBy(F.col("host").alias("size_host")).agg(F.count(F.lit(1)).alias("host_pages"))
-    joined = pages.join(marks, "news_id", "left")
+    joined = pages.join(marks.hint("shuffle_hash"), "news_id", "left")  # texts need no sort; marks are small
     return joined.join(size, F.col("host").eqNullSafe(F.col("size_host")), "left").drop("size_host")
 
 
