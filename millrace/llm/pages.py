@@ -28,6 +28,8 @@ ELSEWHERE = 3  # pages anywhere that make an element recurring
 LONG = 150  # letters from which a line that isn't template is a paragraph of the article
 LONGEST_TEMPLATE = 140
 LONGEST_UNDER = 230  # letters of a line that stands under a header
+# A mark: position << 40, a flag, pages of all hosts (no table has 2^38).
+TEMPLATE, COUNT = 1 << 39, (1 << 38) - 1
 
 # Beginnings of headers that announce other stories.
 HEADERS = re.compile(
@@ -83,18 +85,29 @@ def element_counts(lines: DataFrame) -> DataFrame:
     return per_host.join(anywhere, "h")
 
 
+def host_sizes(lines: DataFrame) -> DataFrame:
+    """size_host, host_pages."""
+    return lines.groupBy(F.col("host").alias("size_host")).agg(F.count(F.lit(1)).alias("host_pages"))
+
+
+def flagged(counts: DataFrame, sizes: DataFrame) -> DataFrame:
+    """r_host, r_h, mark: the elements' counts with what they make of them, without the position. Judged here, from whole
+    counts, since a page's marks have no room for them."""
+    template = F.col("here") >= F.greatest(F.lit(float(LEAST)), SHARE * F.col("host_pages"))
+    mark = F.when(template, F.lit(TEMPLATE)).otherwise(F.lit(0)) + F.least("all", F.lit(COUNT))
+    sized = counts.join(sizes, F.col("host").eqNullSafe(F.col("size_host")))
+    return sized.select(F.col("host").alias("r_host"), F.col("h").alias("r_h"), mark.alias("mark"))
+
+
 def with_counts(pages: DataFrame, lines: DataFrame) -> DataFrame:
-    """``pages`` (news_id, host, ...) with marks, the packed positions and counts of recurring lines, and host_pages."""
-    recurring = element_counts(lines).select(F.col("host").alias("r_host"), F.col("h").alias("r_h"), "here", "all")
+    """``pages`` (news_id, host, ...) with marks, the packed positions, flags and counts of recurring lines."""
+    recurring = flagged(element_counts(lines), host_sizes(lines))
     placed = lines.join(pages.select("news_id"), "news_id", "left_semi") if pages is not lines else lines
     placed = placed.select("news_id", "host", F.posexplode("hashes").alias("pos", "h")).filter("h IS NOT NULL")
-    cap = F.lit((1 << 20) - 1)
-    packed = F.shiftleft(F.col("pos").cast("long"), 40) + F.shiftleft(F.least("here", cap), 20) + F.least("all", cap)
+    packed = F.shiftleft(F.col("pos").cast("long"), 40) + F.col("mark")
     marked = placed.join(recurring, (F.col("h") == F.col("r_h")) & F.col("host").eqNullSafe(F.col("r_host"))).select("news_id", packed.alias("m"))
     marks = marked.groupBy("news_id").agg(F.collect_list("m").alias("marks"))
-    size = lines.groupBy(F.col("host").alias("size_host")).agg(F.count(F.lit(1)).alias("host_pages"))
-    joined = pages.join(marks.hint("shuffle_hash"), "news_id", "left")  # texts need no sort; marks are small
-    return joined.join(size, F.col("host").eqNullSafe(F.col("size_host")), "left").drop("size_host")
+    return pages.join(marks.hint("shuffle_hash"), "news_id", "left")  # texts need no sort; marks are small
 
 
 def common_capitals(lines: DataFrame) -> frozenset:
@@ -111,19 +124,19 @@ def pages_of(news: DataFrame) -> DataFrame:
 
 
 class Page:
-    """Lines of one page with what they are: ``T`` template, ``R`` recurring, ``U`` its own, blank ``''``."""
+    """Lines of one page with what they are: ``T`` template, ``R`` recurring, ``U`` its own, blank ``''``. ``host_pages``
+    is already in the marks' flags."""
 
-    def __init__(self, headline: str | None, host: str | None, text: str, marks, host_pages: int, common: frozenset = frozenset()):
+    def __init__(self, headline: str | None, host: str | None, text: str, marks, host_pages: int = 0, common: frozenset = frozenset()):
         self.common = common
         self.lines = [x.strip(" \t\r ﻿​") for x in text.split("\n")]
         self.headline = (headline or "").strip()
         n = len(self.lines)
-        here, everywhere = [1] * n, [1] * n
+        template, everywhere = [False] * n, [1] * n
         for m in marks if marks is not None else ():
             m = int(m)
             if (pos := m >> 40) < n:
-                here[pos], everywhere[pos] = m >> 20 & 0xFFFFF, m & 0xFFFFF
-        need = max(LEAST, SHARE * (host_pages or 1))
+                template[pos], everywhere[pos] = bool(m & TEMPLATE), m & COUNT
         # copies of one article share all their paragraphs: what recurs no more than those is not the site's
         long_counts = sorted(everywhere[i] for i in range(n) if len(self.lines[i]) >= LONG and everywhere[i] >= 2)
         copies = long_counts[len(long_counts) // 2] if len(long_counts) >= 2 else 1
@@ -133,7 +146,7 @@ class Page:
                 self.kind.append("")
             elif len(x) > LONGEST_TEMPLATE or (everywhere[i] <= 1.5 * copies and copies > 1 and len(x) > 40):
                 self.kind.append("U")
-            elif here[i] >= need:
+            elif template[i]:
                 self.kind.append("T")
             elif everywhere[i] >= ELSEWHERE:
                 self.kind.append("R")
