@@ -28,8 +28,9 @@ ELSEWHERE = 3  # pages anywhere that make an element recurring
 LONG = 150  # letters from which a line that isn't template is a paragraph of the article
 LONGEST_TEMPLATE = 140
 LONGEST_UNDER = 230  # letters of a line that stands under a header
-# A mark: position << 40, a flag, pages of all hosts (no table has 2^38).
-TEMPLATE, COUNT = 1 << 39, (1 << 38) - 1
+# A mark: position << 40, two flags, pages of all hosts (no table has 2^38).
+TEMPLATE, ALONE, COUNT = 1 << 39, 1 << 38, (1 << 38) - 1
+ALIKE = 1.5  # times a page's letters: the mean of an element's pages, if the element is what those pages are about
 
 # Beginnings of headers that announce other stories.
 HEADERS = re.compile(
@@ -65,7 +66,7 @@ def element_hash(line: Column, host: Column) -> Column:
 
 
 def hashed_lines(pages: DataFrame) -> DataFrame:
-    """news_id, host, hashes (null for blank lines), capitals of each page with a text, made once for all later passes.
+    """news_id, host, letters, hashes (null for blank lines), capitals of each page with a text, made once for all later passes.
     ``capitals`` are the capitalised words of its lines that are short enough to stand under a header."""
     plain = F.col("text")
     for space in SPACES:
@@ -74,13 +75,14 @@ def hashed_lines(pages: DataFrame) -> DataFrame:
     hashes = F.transform(lines, lambda x: element_hash(x, F.col("host")))
     short = F.array_join(F.filter(lines, lambda x: F.length(x).between(30, LONGEST_UNDER)), "\n")
     capitals = F.array_distinct(F.regexp_extract_all(short, F.lit(r"\b[A-ZÀ-Ý][\p{L}\d'-]{3,}"), F.lit(0)))
-    return materialize(pages.filter("text IS NOT NULL").select("news_id", "host", hashes.alias("hashes"), capitals.alias("capitals")), "hashes")
+    return materialize(pages.filter("text IS NOT NULL").select("news_id", "host", F.length("text").alias("letters"), hashes.alias("hashes"), capitals.alias("capitals")), "hashes")
 
 
 def element_counts(lines: DataFrame) -> DataFrame:
-    """host, h, here, all of the elements that more than one page carries: pages of the host, and of all hosts."""
-    once = lines.select("host", F.explode(F.array_distinct(F.filter("hashes", lambda h: h.isNotNull()))).alias("h"))
-    per_host = once.groupBy("host", "h").agg(F.count(F.lit(1)).alias("here"))
+    """host, h, here, letters, all of the elements that more than one page carries: pages of the host and their letters,
+    and pages of all hosts."""
+    once = lines.select("host", "letters", F.explode(F.array_distinct(F.filter("hashes", lambda h: h.isNotNull()))).alias("h"))
+    per_host = once.groupBy("host", "h").agg(F.count(F.lit(1)).alias("here"), F.sum("letters").alias("letters"))
     anywhere = per_host.groupBy("h").agg(F.sum("here").alias("all")).filter("all >= 2")
     return per_host.join(anywhere, "h")
 
@@ -91,20 +93,20 @@ def host_sizes(lines: DataFrame) -> DataFrame:
 
 
 def flagged(counts: DataFrame, sizes: DataFrame) -> DataFrame:
-    """r_host, r_h, mark: the elements' counts with what they make of them, without the position. Judged here, from whole
-    counts, since a page's marks have no room for them."""
+    """r_host, r_h, mark, mean: the elements' counts with what they make of them, without the position, and the mean letters
+    of their pages. Judged here, from whole counts, since a page's marks have no room for them."""
     template = F.col("here") >= F.greatest(F.lit(float(LEAST)), SHARE * F.col("host_pages"))
     mark = F.when(template, F.lit(TEMPLATE)).otherwise(F.lit(0)) + F.least("all", F.lit(COUNT))
     sized = counts.join(sizes, F.col("host").eqNullSafe(F.col("size_host")))
-    return sized.select(F.col("host").alias("r_host"), F.col("h").alias("r_h"), mark.alias("mark"))
+    return sized.select(F.col("host").alias("r_host"), F.col("h").alias("r_h"), mark.alias("mark"), (F.col("letters") / F.col("here")).alias("mean"))
 
 
 def with_counts(pages: DataFrame, lines: DataFrame) -> DataFrame:
     """``pages`` (news_id, host, ...) with marks, the packed positions, flags and counts of recurring lines."""
     recurring = flagged(element_counts(lines), host_sizes(lines))
     placed = lines.join(pages.select("news_id"), "news_id", "left_semi") if pages is not lines else lines
-    placed = placed.select("news_id", "host", F.posexplode("hashes").alias("pos", "h")).filter("h IS NOT NULL")
-    packed = F.shiftleft(F.col("pos").cast("long"), 40) + F.col("mark")
+    placed = placed.select("news_id", "host", "letters", F.posexplode("hashes").alias("pos", "h")).filter("h IS NOT NULL")
+    packed = F.shiftleft(F.col("pos").cast("long"), 40) + F.col("mark") + F.when(F.col("mean") <= ALIKE * F.col("letters"), F.lit(ALONE)).otherwise(F.lit(0))
     marked = placed.join(recurring, (F.col("h") == F.col("r_h")) & F.col("host").eqNullSafe(F.col("r_host"))).select("news_id", packed.alias("m"))
     marks = marked.groupBy("news_id").agg(F.collect_list("m").alias("marks"))
     return pages.join(marks.hint("shuffle_hash"), "news_id", "left")  # texts need no sort; marks are small
@@ -133,10 +135,13 @@ class Page:
         self.headline = (headline or "").strip()
         n = len(self.lines)
         template, everywhere = [False] * n, [1] * n
+        self.alone: set[int] = set()  # recurring lines that only pages as short as this one carry
         for m in marks if marks is not None else ():
             m = int(m)
             if (pos := m >> 40) < n:
                 template[pos], everywhere[pos] = bool(m & TEMPLATE), m & COUNT
+                if m & ALONE:
+                    self.alone.add(pos)
         # copies of one article share all their paragraphs: what recurs no more than those is not the site's
         long_counts = sorted(everywhere[i] for i in range(n) if len(self.lines[i]) >= LONG and everywhere[i] >= 2)
         copies = long_counts[len(long_counts) // 2] if len(long_counts) >= 2 else 1
