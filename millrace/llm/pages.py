@@ -26,10 +26,12 @@ COMMON = 0.01
 SHARE, LEAST = 0.05, 3  # of a host's pages, and pages at least, that make an element the host's template
 ELSEWHERE = 3  # pages anywhere that make an element recurring
 LONG = 150  # letters from which a line that isn't template is a paragraph of the article
-LONGEST_TEMPLATE = 140
+LONGEST_MASKED = 140  # letters up to which lines are compared without their numbers
+VARIED = 16  # headlines (64 at most are told apart) that show an element of the site, whatever recurs with it
 LONGEST_UNDER = 230  # letters of a line that stands under a header
-# A mark: position << 40, two flags, pages of all hosts (no table has 2^38).
-TEMPLATE, ALONE, COUNT = 1 << 39, 1 << 38, (1 << 38) - 1
+WIDE = 0.5  # of a host's pages, from which a long line is the site's wherever it stands
+# A mark: position << 40, four flags, pages of all hosts (no table has 2^36).
+TEMPLATE, ALONE, SITE, MOST, COUNT = 1 << 39, 1 << 38, 1 << 37, 1 << 36, (1 << 36) - 1
 ALIKE = 1.5  # times a page's letters: the mean of an element's pages, if the element is what those pages are about
 
 # Beginnings of headers that announce other stories.
@@ -61,42 +63,50 @@ def element_hash(line: Column, host: Column) -> Column:
     """Hash of a line, of a short one without its numbers and the site's name; null for a blank one."""
     bare = F.trim(line, F.lit(FRINGE))
     masked = F.lower(F.regexp_replace(F.replace(bare, F.coalesce(host, F.lit("\u0001")), F.lit("\u0001")), "[0-9]+", "0"))
-    # a line too long for a template is only compared with its exact copies
-    return F.when(F.length(bare) > LONGEST_TEMPLATE, F.xxhash64(bare)).when(F.length(bare) > 0, F.xxhash64(masked))
+    # a long line is only compared with its exact copies
+    return F.when(F.length(bare) > LONGEST_MASKED, F.xxhash64(bare)).when(F.length(bare) > 0, F.xxhash64(masked))
 
 
 def hashed_lines(pages: DataFrame) -> DataFrame:
-    """news_id, host, letters, hashes (null for blank lines), capitals of each page with a text, made once for all later passes.
-    ``capitals`` are the capitalised words of its lines that are short enough to stand under a header."""
+    """news_id, host, letters, head, hashes (null for blank lines), long_hashes, capitals of each page with a text, made once for all later passes.
+    ``head`` has one of 64 bits for the headline (of the id, where it is blank); ``capitals`` are the capitalised words of its lines that are short enough to stand under a header."""
     plain = F.col("text")
     for space in SPACES:
         plain = F.replace(plain, F.lit(chr(space)), F.lit(" "))
     lines = F.split(plain, "\n")
     hashes = F.transform(lines, lambda x: element_hash(x, F.col("host")))
+    long_hashes = F.transform(F.filter(lines, lambda x: F.length(F.trim(x, F.lit(FRINGE))) > LONGEST_UNDER), lambda x: element_hash(x, F.col("host")))
     short = F.array_join(F.filter(lines, lambda x: F.length(x).between(30, LONGEST_UNDER)), "\n")
     capitals = F.array_distinct(F.regexp_extract_all(short, F.lit(r"\b[A-ZÀ-Ý][\p{L}\d'-]{3,}"), F.lit(0)))
-    return materialize(pages.filter("text IS NOT NULL").select("news_id", "host", F.length("text").alias("letters"), hashes.alias("hashes"), capitals.alias("capitals")), "hashes")
+    headline = F.lower(F.trim("headline"))
+    bit = F.pmod(F.when(F.length(headline) > 0, F.xxhash64(headline)).otherwise(F.xxhash64("news_id")), F.lit(64))
+    head = F.expr("shiftleft(1L, cast(bit AS int))")
+    pages = pages.filter("text IS NOT NULL").withColumn("bit", bit)
+    return materialize(pages.select("news_id", "host", F.length("text").alias("letters"), head.alias("head"), hashes.alias("hashes"), long_hashes.alias("long_hashes"), capitals.alias("capitals")), "hashes")
 
 
 def element_counts(lines: DataFrame) -> DataFrame:
-    """host, h, here, letters, all of the elements that more than one page carries: pages of the host and their letters,
-    and pages of all hosts."""
-    once = lines.select("host", "letters", F.explode(F.array_distinct(F.filter("hashes", lambda h: h.isNotNull()))).alias("h"))
-    per_host = once.groupBy("host", "h").agg(F.count(F.lit(1)).alias("here"), F.sum("letters").alias("letters"))
+    """host, h, here, letters, heads, all of the elements that more than one page carries: pages of the host, their letters
+    and the bits of their headlines, and pages of all hosts."""
+    once = lines.select("host", "letters", "head", F.explode(F.array_distinct(F.filter("hashes", lambda h: h.isNotNull()))).alias("h"))
+    per_host = once.groupBy("host", "h").agg(F.count(F.lit(1)).alias("here"), F.sum("letters").alias("letters"), F.bit_or("head").alias("heads"))
     anywhere = per_host.groupBy("h").agg(F.sum("here").alias("all")).filter("all >= 2")
     return per_host.join(anywhere, "h")
 
 
 def host_sizes(lines: DataFrame) -> DataFrame:
-    """size_host, host_pages."""
-    return lines.groupBy(F.col("host").alias("size_host")).agg(F.count(F.lit(1)).alias("host_pages"))
+    """size_host, host_pages, host_heads: pages of each host and the bits of their headlines."""
+    return lines.groupBy(F.col("host").alias("size_host")).agg(F.count(F.lit(1)).alias("host_pages"), F.bit_or("head").alias("host_heads"))
 
 
 def flagged(counts: DataFrame, sizes: DataFrame) -> DataFrame:
     """r_host, r_h, mark, mean: the elements' counts with what they make of them, without the position, and the mean letters
     of their pages. Judged here, from whole counts, since a page's marks have no room for them."""
     template = F.col("here") >= F.greatest(F.lit(float(LEAST)), SHARE * F.col("host_pages"))
-    mark = F.when(template, F.lit(TEMPLATE)).otherwise(F.lit(0)) + F.least("all", F.lit(COUNT))
+    # copies of an article stand under one headline or few, elements of the site under as many as there are pages
+    varied = F.bit_count("heads") >= F.least(F.lit(float(VARIED)), F.col("here") / 2, F.bit_count("host_heads") / 2)
+    flags = [(template, TEMPLATE), (template & varied, SITE), (template & varied & (F.col("here") >= WIDE * F.col("host_pages")), MOST)]
+    mark = sum((F.when(c, F.lit(bit)).otherwise(F.lit(0)) for c, bit in flags), F.least("all", F.lit(COUNT)))
     sized = counts.join(sizes, F.col("host").eqNullSafe(F.col("size_host")))
     return sized.select(F.col("host").alias("r_host"), F.col("h").alias("r_h"), mark.alias("mark"), (F.col("letters") / F.col("here")).alias("mean"))
 
@@ -112,6 +122,13 @@ def with_counts(pages: DataFrame, lines: DataFrame) -> DataFrame:
     return pages.join(marks.hint("shuffle_hash"), "news_id", "left")  # texts need no sort; marks are small
 
 
+def footed(lines: DataFrame) -> DataFrame:
+    """news_id of the pages that carry a template line too long to stand under a header."""
+    long = flagged(element_counts(lines.withColumn("hashes", F.col("long_hashes"))), host_sizes(lines)).filter(F.col("mark").bitwiseAND(F.lit(SITE)) != 0)
+    placed = lines.select("news_id", "host", F.explode("long_hashes").alias("h"))
+    return placed.join(long, (F.col("h") == F.col("r_h")) & F.col("host").eqNullSafe(F.col("r_host")), "left_semi").select("news_id").distinct()
+
+
 def common_capitals(lines: DataFrame) -> frozenset:
     """Capitalised words that the short lines of at least ``COMMON`` of all pages carry: at most words-of-a-page / COMMON
     of them, some thousands at any number of pages. Counted over all pages."""
@@ -134,22 +151,42 @@ class Page:
         self.lines = [x.strip(" \t\r ﻿​") for x in text.split("\n")]
         self.headline = (headline or "").strip()
         n = len(self.lines)
-        template, everywhere = [False] * n, [1] * n
+        template, of_site, on_most, everywhere = [False] * n, [False] * n, [False] * n, [1] * n
         self.alone: set[int] = set()  # recurring lines that only pages as short as this one carry
         for m in marks if marks is not None else ():
             m = int(m)
             if (pos := m >> 40) < n:
                 template[pos], everywhere[pos] = bool(m & TEMPLATE), m & COUNT
+                of_site[pos], on_most[pos] = bool(m & SITE), bool(m & MOST)
                 if m & ALONE:
                     self.alone.add(pos)
+        # a passage that articles share recurs like a long template line, but stands between paragraphs
+        shown = [i for i in range(n) if self.lines[i]]
+        short = [len(self.lines[i]) <= LONGEST_MASKED for i in shown]
+        for at, i in enumerate(shown):
+            if of_site[i] and not short[at] and not on_most[i]:
+                a, b = at - 1, at + 1
+                while a >= 0 and of_site[shown[a]] and not short[a]:
+                    a -= 1
+                while b < len(shown) and of_site[shown[b]] and not short[b]:
+                    b += 1
+                beside = [template[shown[k]] and short[k] for k in (a, b) if 0 <= k < len(shown)]
+                on_most[i] = bool(beside) and all(beside)
+        for i in shown:
+            if len(self.lines[i]) > LONGEST_MASKED:
+                of_site[i] = on_most[i]
         # copies of one article share all their paragraphs: what recurs no more than those is not the site's
-        long_counts = sorted(everywhere[i] for i in range(n) if len(self.lines[i]) >= LONG and everywhere[i] >= 2)
+        long_counts = sorted(everywhere[i] for i in range(n) if len(self.lines[i]) >= LONG and everywhere[i] >= 2 and not of_site[i])
         copies = long_counts[len(long_counts) // 2] if len(long_counts) >= 2 else 1
         self.kind = []
         for i, x in enumerate(self.lines):
             if not x:
                 self.kind.append("")
-            elif len(x) > LONGEST_TEMPLATE or (everywhere[i] <= 1.5 * copies and copies > 1 and len(x) > 40):
+            elif everywhere[i] <= 1.5 * copies and copies > 1 and len(x) > 40:
+                self.kind.append("U")
+            elif len(x) > LONGEST_MASKED and of_site[i]:
+                self.kind.append("T")
+            elif len(x) > LONGEST_MASKED:
                 self.kind.append("U")
             elif template[i]:
                 self.kind.append("T")
@@ -215,7 +252,7 @@ class Page:
         # short lines beyond a template line that have no word of the article are the site's
         for order in (at, at[::-1]):
             for i in list(order):
-                if len(self.lines[i]) >= LONG or self.lines[i] == self.headline or self.coherent(self.lines[i]):
+                if len(self.lines[i]) >= LONG and self.kind[i] != "T" or self.lines[i] == self.headline or self.coherent(self.lines[i]):
                     break
                 step = 1 if order is at else -1
                 j = i + step
