@@ -35,23 +35,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; unset (tests), a local temporary one is chosen."""
+    """The folder all executors share: ``spark.checkpoint.dir``. Unset, a temporary one is chosen in local mode; on a
+    cluster that would lie on one machine, so it is an error there."""
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     if sc._jsc.sc().getCheckpointDir().isEmpty():
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="millrace-"))
     return sc._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
-def materialize(df: DataFrame, name: str = "t") -> DataFrame:
+def materialize(df: DataFrame, name: str = "t", by: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage, survives the loss of executors, and lets
-    later plans scan only the columns and row groups they need."""
+    later plans scan only the columns and row groups (with ``by``, the partitions) they need. The folders are those of the
+    session, which outlives every frame that reads them: they go with ``spark.checkpoint.dir``."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/millrace-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    writer = df.write.partitionBy(by) if by else df.write
+    writer.parquet(path)
+    read = spark.read.schema(df.schema).parquet(path)
+    return read.select(*df.columns) if by else read
 
 
 def ship(spark: SparkSession) -> None:
