@@ -1,53 +1,47 @@
 """Main text of pages: site template removal (p1).
 
-A page's lines are its elements; a header line roots the subtree of the lines under it. Every element is hashed after
-masking numbers and the site's own name, and the hashes are counted per host in Spark over all pages. Elements that recur
-across many pages of their host are the site's template and go; with a header that announces other stories its subtree
-goes too. What recurs at a low rate is judged by place: around the article it is furniture of the site, inside it only
-lines that address the reader's device or the page's own controls go, so that subheads and stock sentences stay.
+A page is a tree of elements read from its lines: a line with the lines that stand under it, and a line's label with the
+value that follows it. Every element's subtree is hashed after masking numbers and the site's own name, and the hashes are
+counted per host in Spark over all pages. What the counts of a host say decides:
+
+* a line that recurs on ``SHARE`` of the host's pages is the site's template and goes;
+* a label that recurs so (``Tags: ...``, ``Read also: ...``) goes with the value it holds;
+* a recurring line under which short lines stand that differ from page to page is the root of a list of other stories; it
+  goes with the lines under it, up to the next template line, blank line, paragraph, or line about the page's subject.
+
+What recurs at a low rate is judged by place: around the article it is furniture of the site. Inside it, stock subheads
+recur exactly like inline advertising, so a short fixed list of words (``CONTROLS``) decides there.
 
 Defined results: null and empty texts have no lines; blank lines are never reported; residue pages (see ``residue``) take
-no part; a line equal to the headline is the article's heading; without any article line all recurring lines go.
+no part; a line equal to the headline is the article's heading; without any article line all recurring lines go; pages of
+a null host are those of one host; repeated rows count as pages of their own.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
 
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.session import materialize
 
-FRINGE = " \t\r\ufeff\u200b"
-SPACES = {0xA0: " ", 0x2009: " ", 0x202F: " "}
+FRINGE = " \t\r\xa0﻿​"
+SPACES = str.maketrans({0xA0: " ", 0x2009: " ", 0x202F: " "})
 COMMON = 0.01
 SHARE, LEAST = 0.05, 3  # of a host's pages, and pages at least, that make an element the host's template
 ELSEWHERE = 3  # pages anywhere that make an element recurring
 LONG = 150  # letters from which a line that isn't template is a paragraph of the article
 LONGEST_MASKED = 140  # letters up to which lines are compared without their numbers
 VARIED = 16  # headlines (64 at most are told apart) that show an element of the site, whatever recurs with it
-LONGEST_UNDER = 230  # letters of a line that stands under a header
+LONGEST_UNDER = 230  # letters of a line that stands under a root
 WIDE = 0.5  # of a host's pages, from which a long line is the site's wherever it stands
-# A mark: position << 40, four flags, pages of all hosts (no table has 2^36).
-TEMPLATE, ALONE, SITE, MOST, COUNT = 1 << 39, 1 << 38, 1 << 37, 1 << 36, (1 << 36) - 1
+LEADS, LED = 0.5, 32  # share of a root's pages with a short line under it, and how many of these must differ
 ALIKE = 1.5  # times a page's letters: the mean of an element's pages, if the element is what those pages are about
+TEMPLATE, ALONE, SITE, MOST, ROOT, LABEL = 1, 2, 4, 8, 16, 32  # flags of a mark, below its position
 
-# Beginnings of headers that announce other stories.
-HEADERS = re.compile(
-    r"^\W*(related|more (from|on|stories)|you may (also )?like|you might|trending|popular|most (read|popular)|editor.?s.? picks?|in this section|read (more|next)|recommended|latest (news|stories)|also (read|in)"
-    r"|mehr (zum|von|aus)|aus dem ressort|meistgelesen|das könnte|lesen sie|weitere (artikel|themen)|à lire|lire aussi|sur le même|les plus lus|dans (la même|cette)|à découvrir|plus de"
-    r"|lo más|le puede|te puede|más (de|sobre|noticias|en)|en esta sección|relacionad|también en|lea también)",
-    re.I,
-)
-# Beginnings of single lines of furniture that carry words of their own.
-LABELLED = re.compile(
-    r"^\W*(read (also|more|next)|see also|also read|tags?|topics?|filed under|keywords|photo|image|credit|foto|bild|themen|schlagw(ö|oe)rter|lesen sie( auch)?|mehr dazu|mots-cl(é|e)s|à lire( aussi)?|lire aussi"
-    r"|etiquetas|temas|lea (también|además)|más información|imagen|siehe auch|voir aussi|ver también|version|powered by|made with)\s*[:：]?\s*\S",
-    re.I,
-)
-LABEL_END = re.compile(r"^[^:：]{2,24}\s?[:：]\s")
 # Words of lines that address the reader's device or the page's own controls.
 CONTROLS = re.compile(
     r"advert|sponsor|story continues|continue reading|loading|skip to|scroll|\bphoto\b|\bfoto\b|share\b|print\b|copy link|comments?\b|min read|listen to|\blike \(|reply|follow\b|save for|text size|newsletter|cookie|subscribe"
@@ -56,77 +50,124 @@ CONTROLS = re.compile(
     re.I,
 )
 SENTENCE_END = re.compile(r"[.!?…][\"”»“']?$")
-NAME = re.compile(r"(?<=[\w,;»”] )[A-ZÀ-Ý][\w'-]{3,}")
-
-
-def element_hash(line: Column, host: Column) -> Column:
-    """Hash of a line, of a short one without its numbers and the site's name; null for a blank one."""
-    bare = F.trim(line, F.lit(FRINGE))
-    masked = F.lower(F.regexp_replace(F.replace(bare, F.coalesce(host, F.lit("\u0001")), F.lit("\u0001")), "[0-9]+", "0"))
-    # a long line is only compared with its exact copies
-    return F.when(F.length(bare) > LONGEST_MASKED, F.xxhash64(bare)).when(F.length(bare) > 0, F.xxhash64(masked))
-
-
-def hashed_lines(pages: DataFrame) -> DataFrame:
-    """news_id, host, letters, head, hashes (null for blank lines), long_hashes, capitals of each page with a text, made once for all later passes.
-    ``head`` has one of 64 bits for the headline (of the id, where it is blank); ``capitals`` are the capitalised words of its lines that are short enough to stand under a header."""
-    plain = F.col("text")
-    for space in SPACES:
-        plain = F.replace(plain, F.lit(chr(space)), F.lit(" "))
-    lines = F.split(plain, "\n")
-    hashes = F.transform(lines, lambda x: element_hash(x, F.col("host")))
-    long_hashes = F.transform(F.filter(lines, lambda x: F.length(F.trim(x, F.lit(FRINGE))) > LONGEST_UNDER), lambda x: element_hash(x, F.col("host")))
-    short = F.array_join(F.filter(lines, lambda x: F.length(x).between(30, LONGEST_UNDER)), "\n")
-    capitals = F.array_distinct(F.regexp_extract_all(short, F.lit(r"\b[A-ZÀ-Ý][\p{L}\d'-]{3,}"), F.lit(0)))
-    headline = F.lower(F.trim("headline"))
-    bit = F.pmod(F.when(F.length(headline) > 0, F.xxhash64(headline)).otherwise(F.xxhash64("news_id")), F.lit(64))
-    head = F.expr("shiftleft(1L, cast(bit AS int))")
-    pages = pages.filter("text IS NOT NULL").withColumn("bit", bit)
-    return materialize(pages.select("news_id", "host", F.length("text").alias("letters"), head.alias("head"), hashes.alias("hashes"), long_hashes.alias("long_hashes"), capitals.alias("capitals")), "hashes")
+NUMBER = re.compile(r"[0-9]+")
+LABELLED = re.compile(r"([^:：]{2,24}?)\s?[:：]\s")
+LABEL_END = re.compile(r"^[^:：]{2,24}\s?[:：]\s")
+CAPITAL = re.compile(r"[A-ZÀ-Ý][\w'-]{3,}")
+LINES = "news_id long, site long, letters long, head long, doubt int, places array<int>, keys array<long>, elements array<long>, nexts array<int>, capitals array<string>"
+
+
+def digest(text: str, seed: int = 0) -> int:
+    return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"), seed) - (1 << 63)
+
+
+def masked(line: str, host: str | None) -> str:
+    """A line without its numbers and the site's name; one that is longer than ``LONGEST_MASKED`` as it is."""
+    if len(line) > LONGEST_MASKED:
+        return line
+    return NUMBER.sub("0", line.replace(host, "\x01") if host else line).lower()
+
+
+def label_of(line: str, mask: str) -> str:
+    """The label of a short line without the end of a sentence: what stands before its colon, else its first three words."""
+    if len(line) >= LONG or SENTENCE_END.search(line):
+        return ""
+    if found := LABELLED.match(mask):
+        return found[1] + ":"
+    words = mask.split(None, 3)
+    return " ".join(words[:3]) if len(words) > 3 else ""
+
+
+def elements_of(host: str | None, headline: str, text: str) -> tuple[list[int], list[int], list[int], list[int], list[str]]:
+    """Places and keys of a page's elements (a label's place is that of its line, as ``~place``), its distinct keys, the
+    bit (of 64) of the short line that stands under each (-1: none does), and the capitalised words of its short lines."""
+    places, keys, capitals = [], [], set()
+    labels: list[tuple[int, int]] = []
+    under: dict[int, int] = {}
+    before = None
+    for place, line in enumerate(text.translate(SPACES).split("\n") if not text.isascii() else text.split("\n")):
+        line = line.strip(FRINGE)
+        if not line:
+            continue
+        mask = masked(line, host)
+        key = digest(mask)
+        places.append(place)
+        keys.append(key)
+        short = len(line) < LONG and line != headline and not SENTENCE_END.search(line)
+        if before is not None and before not in under:
+            under[before] = (key >> 7) & 63 if short else -1
+        before = key
+        if short and (label := label_of(line, mask)):
+            labels.append((~place, digest(label, 1)))
+        if 30 <= len(line) <= LONGEST_UNDER:
+            capitals.update(CAPITAL.findall(line))
+    places += [p for p, _ in labels]
+    keys += [k for _, k in labels]
+    distinct = list(dict.fromkeys(keys))
+    return places, keys, distinct, [under.get(k, -1) for k in distinct], list(capitals)
+
+
+def hashed_lines(pages: DataFrame, screen=None) -> DataFrame:
+    """``LINES`` of each page (news_id, host, headline, text) with a text, made once for all later passes. ``head`` has one
+    of 64 bits for the headline (of the id, where it is blank); ``doubt`` is what ``screen(headlines, texts)`` says of it."""
+
+    def run(batches):
+        for b in batches:
+            hosts, heads = ([x if isinstance(x, str) else "" for x in b[c]] for c in ("host", "headline"))
+            texts, out = b["text"].tolist(), []
+            doubts = screen([h.strip() for h in heads], texts) if screen else [0] * len(texts)
+            for key, host, headline, text, doubt in zip(b["news_id"], hosts, heads, texts, doubts):
+                bare = headline.strip()
+                bit = digest(bare.lower()) & 63 if bare else digest(str(key)) & 63
+                out.append((key, digest(host) if host else 0, len(text), (1 << bit) - (1 << 64 if bit == 63 else 0), int(doubt), *elements_of(host, bare, text)))
+            yield pd.DataFrame(out, columns=[c.strip().split(" ")[0] for c in LINES.split(",")])
+
+    return materialize(pages.filter("text IS NOT NULL").select("news_id", "host", "headline", "text").mapInPandas(run, LINES), "lines")
 
 
 def element_counts(lines: DataFrame) -> DataFrame:
-    """host, h, here, letters, heads, all of the elements that more than one page carries: pages of the host, their letters
-    and the bits of their headlines, and pages of all hosts."""
-    once = lines.select("host", "letters", "head", F.explode(F.array_distinct(F.filter("hashes", lambda h: h.isNotNull()))).alias("h"))
-    per_host = once.groupBy("host", "h").agg(F.count(F.lit(1)).alias("here"), F.sum("letters").alias("letters"), F.bit_or("head").alias("heads"))
+    """site, h, here, letters, heads, leads, led, all of the elements that more than one page carries: pages of the host,
+    their letters, the bits of their headlines, the pages on which a short line stands under the element and the bits of
+    those lines, and pages of all hosts."""
+    once = lines.select("site", "letters", "head", F.explode(F.arrays_zip(F.col("elements").alias("h"), F.col("nexts").alias("next"))).alias("e")).select("site", "letters", "head", "e.h", "e.next")
+    follows = F.col("next") >= 0
+    per_host = once.groupBy("site", "h").agg(
+        F.count(F.lit(1)).alias("here"), F.sum("letters").alias("letters"), F.bit_or("head").alias("heads"), F.count_if(follows).alias("leads"), F.bit_or(F.when(follows, F.expr("shiftleft(1L, next)")).otherwise(F.lit(0))).alias("led")
+    )
     anywhere = per_host.groupBy("h").agg(F.sum("here").alias("all")).filter("all >= 2")
     return per_host.join(anywhere, "h")
 
 
 def host_sizes(lines: DataFrame) -> DataFrame:
-    """size_host, host_pages, host_heads: pages of each host and the bits of their headlines."""
-    return lines.groupBy(F.col("host").alias("size_host")).agg(F.count(F.lit(1)).alias("host_pages"), F.bit_or("head").alias("host_heads"))
+    """size_site, host_pages, host_heads: pages of each host and the bits of their headlines."""
+    return lines.groupBy(F.col("site").alias("size_site")).agg(F.count(F.lit(1)).alias("host_pages"), F.bit_or("head").alias("host_heads"))
 
 
 def flagged(counts: DataFrame, sizes: DataFrame) -> DataFrame:
-    """r_host, r_h, mark, mean: the elements' counts with what they make of them, without the position, and the mean letters
-    of their pages. Judged here, from whole counts, since a page's marks have no room for them."""
+    """r_site, r_h, flags, all, mean: what the elements' counts make of them, and the mean letters of their pages."""
     template = F.col("here") >= F.greatest(F.lit(float(LEAST)), SHARE * F.col("host_pages"))
     # copies of an article stand under one headline or few, elements of the site under as many as there are pages
     varied = F.bit_count("heads") >= F.least(F.lit(float(VARIED)), F.col("here") / 2, F.bit_count("host_heads") / 2)
-    flags = [(template, TEMPLATE), (template & varied, SITE), (template & varied & (F.col("here") >= WIDE * F.col("host_pages")), MOST)]
-    mark = sum((F.when(c, F.lit(bit)).otherwise(F.lit(0)) for c, bit in flags), F.least("all", F.lit(COUNT)))
-    sized = counts.join(sizes, F.col("host").eqNullSafe(F.col("size_host")))
-    return sized.select(F.col("host").alias("r_host"), F.col("h").alias("r_h"), mark.alias("mark"), (F.col("letters") / F.col("here")).alias("mean"))
+    root = template & (F.col("leads") >= LEADS * F.col("here")) & (F.bit_count("led") >= F.least(F.lit(float(LED)), 0.75 * F.col("leads")))
+    flags = [(template, TEMPLATE), (template & varied, SITE), (template & varied & (F.col("here") >= WIDE * F.col("host_pages")), MOST), (root, ROOT)]
+    sized = counts.join(sizes, F.col("site") == F.col("size_site"))
+    return sized.select(F.col("site").alias("r_site"), F.col("h").alias("r_h"), sum(F.when(c, F.lit(bit)).otherwise(F.lit(0)) for c, bit in flags).alias("flags"), "all", (F.col("letters") / F.col("here")).alias("mean"))
 
 
-def with_counts(pages: DataFrame, lines: DataFrame) -> DataFrame:
-    """``pages`` (news_id, host, ...) with marks, the packed positions, flags and counts of recurring lines."""
+def with_counts(pages: DataFrame, lines: DataFrame, chosen: DataFrame | None = None) -> DataFrame:
+    """``pages`` (news_id, ...) with doubt, and marks and counts of recurring elements: places with their flags, and pages
+    of all hosts. With ``chosen`` (of ``lines``), only those pages."""
     recurring = flagged(element_counts(lines), host_sizes(lines))
-    placed = lines.join(pages.select("news_id"), "news_id", "left_semi") if pages is not lines else lines
-    placed = placed.select("news_id", "host", "letters", F.posexplode("hashes").alias("pos", "h")).filter("h IS NOT NULL")
-    packed = F.shiftleft(F.col("pos").cast("long"), 40) + F.col("mark") + F.when(F.col("mean") <= ALIKE * F.col("letters"), F.lit(ALONE)).otherwise(F.lit(0))
-    marked = placed.join(recurring, (F.col("h") == F.col("r_h")) & F.col("host").eqNullSafe(F.col("r_host"))).select("news_id", packed.alias("m"))
-    marks = marked.groupBy("news_id").agg(F.collect_list("m").alias("marks"))
-    return pages.join(marks.hint("shuffle_hash"), "news_id", "left")  # texts need no sort; marks are small
-
-
-def footed(lines: DataFrame) -> DataFrame:
-    """news_id of the pages that carry a template line too long to stand under a header."""
-    long = flagged(element_counts(lines.withColumn("hashes", F.col("long_hashes"))), host_sizes(lines)).filter(F.col("mark").bitwiseAND(F.lit(SITE)) != 0)
-    placed = lines.select("news_id", "host", F.explode("long_hashes").alias("h"))
-    return placed.join(long, (F.col("h") == F.col("r_h")) & F.col("host").eqNullSafe(F.col("r_host")), "left_semi").select("news_id").distinct()
+    own = lines if chosen is None else chosen
+    placed = own.select("news_id", "site", "letters", "doubt", F.explode(F.arrays_zip(F.col("places").alias("p"), F.col("keys").alias("k"))).alias("e")).select("news_id", "site", "letters", "doubt", "e.p", "e.k")
+    alone = F.when(F.col("mean") <= ALIKE * F.col("letters"), F.lit(ALONE)).otherwise(F.lit(0))
+    place = F.when(F.col("p") < 0, -F.col("p") - 1).otherwise(F.col("p")).cast("long")
+    mark = F.shiftleft(place, 8) + F.col("flags") + alone + F.when(F.col("p") < 0, F.lit(LABEL)).otherwise(F.lit(0))
+    marked = placed.join(recurring, (F.col("k") == F.col("r_h")) & (F.col("site") == F.col("r_site"))).select("news_id", mark.alias("mark"), "all")
+    # pages with nothing that recurs have their doubt, too
+    marks = marked.unionByName(own.filter("doubt > 0").select("news_id", F.lit(-1).cast("long").alias("mark"), F.col("doubt").cast("long").alias("all")))
+    marks = marks.groupBy("news_id").agg(F.collect_list("mark").alias("marks"), F.collect_list("all").alias("counts"))
+    return pages.join(marks, "news_id", "left" if chosen is None else "inner")
 
 
 def common_capitals(lines: DataFrame) -> frozenset:
@@ -143,130 +184,122 @@ def pages_of(news: DataFrame) -> DataFrame:
 
 
 class Page:
-    """Lines of one page with what they are: ``T`` template, ``R`` recurring, ``U`` its own, blank ``''``. ``host_pages``
-    is already in the marks' flags."""
+    """Lines of one page with what they are: ``T`` template, ``R`` recurring, ``U`` its own, blank ``''``."""
 
-    def __init__(self, headline: str | None, host: str | None, text: str, marks, host_pages: int = 0, common: frozenset = frozenset()):
+    def __init__(self, headline: str | None, text: str, marks=(), counts=(), common: frozenset = frozenset()):
         self.common = common
-        self.lines = [x.strip(" \t\r ﻿​") for x in text.split("\n")]
+        self.lines = [x.strip(FRINGE) for x in text.split("\n")]
         self.headline = (headline or "").strip()
         n = len(self.lines)
-        template, of_site, on_most, everywhere = [False] * n, [False] * n, [False] * n, [1] * n
-        self.alone: set[int] = set()  # recurring lines that only pages as short as this one carry
-        for m in marks if marks is not None else ():
-            m = int(m)
-            if (pos := m >> 40) < n:
-                template[pos], everywhere[pos] = bool(m & TEMPLATE), m & COUNT
-                of_site[pos], on_most[pos] = bool(m & SITE), bool(m & MOST)
-                if m & ALONE:
-                    self.alone.add(pos)
-        # a passage that articles share recurs like a long template line, but stands between paragraphs
-        shown = [i for i in range(n) if self.lines[i]]
-        short = [len(self.lines[i]) <= LONGEST_MASKED for i in shown]
-        for at, i in enumerate(shown):
-            if of_site[i] and not short[at] and not on_most[i]:
-                a, b = at - 1, at + 1
-                while a >= 0 and of_site[shown[a]] and not short[a]:
-                    a -= 1
-                while b < len(shown) and of_site[shown[b]] and not short[b]:
-                    b += 1
-                beside = [template[shown[k]] and short[k] for k in (a, b) if 0 <= k < len(shown)]
-                on_most[i] = bool(beside) and all(beside)
-        for i in shown:
-            if len(self.lines[i]) > LONGEST_MASKED:
-                of_site[i] = on_most[i]
+        flags, everywhere = [0] * n, [1] * n
+        self.doubt = 0
+        self.labelled: set[int] = set()
+        for m, count in zip(marks, counts):
+            m, count = int(m), int(count)
+            if m < 0:
+                self.doubt = count
+            elif (place := m >> 8) < n:
+                if m & LABEL:
+                    if m & TEMPLATE:
+                        self.labelled.add(place)
+                else:
+                    flags[place], everywhere[place] = m & 255, count
+        self.alone = {i for i, f in enumerate(flags) if f & ALONE}  # recurring lines that only pages as short as this one carry
+        self.roots = {i for i, f in enumerate(flags) if f & ROOT}
+        size = [len(x) for x in self.lines]
+        of_site = self._long_template(flags, size)
         # copies of one article share all their paragraphs: what recurs no more than those is not the site's
-        long_counts = sorted(everywhere[i] for i in range(n) if len(self.lines[i]) >= LONG and everywhere[i] >= 2 and not of_site[i])
-        copies = long_counts[len(long_counts) // 2] if len(long_counts) >= 2 else 1
-        self.kind = []
-        for i, x in enumerate(self.lines):
-            if not x:
-                self.kind.append("")
-            elif everywhere[i] <= 1.5 * copies and copies > 1 and len(x) > 40:
-                self.kind.append("U")
-            elif len(x) > LONGEST_MASKED and of_site[i]:
-                self.kind.append("T")
-            elif len(x) > LONGEST_MASKED:
-                self.kind.append("U")
-            elif template[i]:
-                self.kind.append("T")
-            elif everywhere[i] >= ELSEWHERE:
-                self.kind.append("R")
+        long_counts = sorted(c for c, s, site in zip(everywhere, size, of_site) if s >= LONG and c >= 2 and not site)
+        copies = 1.5 * long_counts[len(long_counts) // 2] if len(long_counts) >= 2 and long_counts[len(long_counts) // 2] > 1 else 0
+        self.kind = kind = []
+        for i, s in enumerate(size):
+            if not s:
+                kind.append("")
+            elif s > 40 and everywhere[i] <= copies:
+                kind.append("U")
+            elif s > LONGEST_MASKED:
+                kind.append("T" if of_site[i] else "U")
             else:
-                self.kind.append("U")
-        self._found: set[str] | None = None
+                kind.append("T" if flags[i] & TEMPLATE else "R" if everywhere[i] >= ELSEWHERE else "U")
+        self.paragraphs = [i for i in range(n) if kind[i] == "U" and size[i] >= LONG]
         self.under = self._subtrees()
 
-    @property
-    def names(self) -> set[str]:
-        if self._found is None:
-            self._found = self._names()
-        return self._found
-
-    def _names(self) -> set[str]:
-        """Words of the page that name its subject: not common in the corpus, capitalised inside sentences of at least two paragraphs, or of a paragraph and the headline."""
-        seen: Counter = Counter()
-        for x, k in zip(self.lines, self.kind):
-            if k == "U" and len(x) >= LONG:
-                seen.update(set(NAME.findall(x)))
-        seen.update(set(re.findall(r"[A-ZÀ-Ý][\w'-]{3,}", self.headline)))
-        return {w for w, c in seen.items() if c >= 2 and w not in self.common}
+    def _long_template(self, flags: list[int], size: list[int]) -> list[int]:
+        """Which long lines are the site's. A passage that articles share recurs like one, but stands between paragraphs:
+        on under ``WIDE`` of the host's pages, a long line must have short template lines, or the page's end, around it."""
+        of_site = [f & SITE and (s <= LONGEST_MASKED or f & MOST) for f, s in zip(flags, size)]
+        if not any(f & SITE and s > LONGEST_MASKED and not f & MOST for f, s in zip(flags, size)):
+            return of_site
+        shown = [i for i, s in enumerate(size) if s]
+        long = [bool(flags[i] & SITE and size[i] > LONGEST_MASKED) for i in shown]
+        for at, i in enumerate(shown):
+            if long[at] and not flags[i] & MOST:
+                a = next((k for k in range(at - 1, -1, -1) if not long[k]), None)
+                b = next((k for k in range(at + 1, len(shown)) if not long[k]), None)
+                beside = [flags[shown[k]] & TEMPLATE and size[shown[k]] <= LONGEST_MASKED for k in (a, b) if k is not None]
+                of_site[i] = bool(beside) and all(beside)
+        return of_site
 
     def coherent(self, line: str) -> bool:
-        return any(w in self.names for w in re.findall(r"[A-ZÀ-Ý][\w'-]{3,}", line))
+        """Whether a line names the page's subject: a capitalised word, not common in the corpus, that two paragraphs hold
+        (the line itself, if it is one), or a paragraph and the headline."""
+        need = 1 if len(line) >= LONG else 2
+        for word in CAPITAL.findall(line):
+            if word not in self.common:
+                seen = word in self.headline
+                for i in self.paragraphs:
+                    x = self.lines[i]
+                    if word in x and x is not line:
+                        seen += 1
+                        if seen >= need:
+                            return True
+                if seen >= need:
+                    return True
+        return False
 
     def _subtrees(self) -> set[int]:
-        """Lines under headers that announce other stories: up to a template line, a blank one, or the article."""
+        """Roots of lists of other stories with the lines under them."""
         out: set[int] = set()
-        i, n = 0, len(self.lines)
-        while i < n:
-            if self.kind[i] in ("T", "R") and len(self.lines[i]) < 60 and HEADERS.match(self.lines[i]):
-                out.add(i)
-                j = i + 1
-                while j < n and self.kind[j] in ("R", "U"):
-                    x = self.lines[j]
-                    if x == self.headline or len(x) > LONGEST_UNDER or (self.kind[j] == "U" and self.coherent(x)):
-                        break
-                    out.add(j)
-                    j += 1
-                i = j
-            else:
-                i += 1
+        for root in sorted(self.roots):
+            if root in out or self.kind[root] not in ("T", "R"):
+                continue
+            out.add(root)
+            j = root + 1
+            while j < len(self.lines) and self.kind[j] in ("R", "U"):
+                x = self.lines[j]
+                if x == self.headline or len(x) > LONGEST_UNDER or self.kind[j] == "U" and self.coherent(x):
+                    break
+                out.add(j)
+                j += 1
         return out
 
     def article(self) -> list[int]:
         """Indexes of the article's lines."""
-        n = len(self.lines)
-        own = []
+        n, lines, kind = len(self.lines), self.lines, self.kind
+        own = [False] * n
         for i in range(n):
-            x, k = self.lines[i], self.kind[i]
-            if x and x == self.headline and i not in self.under:
-                own.append(True)
-            elif k in ("", "T") or i in self.under:
-                own.append(False)
-            elif k == "U":
-                own.append(not (LABELLED.match(x) and len(x) < LONG and (not SENTENCE_END.search(x) or LABEL_END.match(x))))
-            else:
-                own.append(bool(SENTENCE_END.search(x)) and len(x) > 30)
-        at = [i for i in range(n) if own[i]]
+            if i in self.under or not kind[i]:
+                continue
+            x = lines[i]
+            if x == self.headline:
+                own[i] = True
+            elif kind[i] == "U":
+                own[i] = i not in self.labelled
+            elif kind[i] == "R":
+                own[i] = len(x) > 30 and bool(SENTENCE_END.search(x))
         # short lines beyond a template line that have no word of the article are the site's
-        for order in (at, at[::-1]):
-            for i in list(order):
-                if len(self.lines[i]) >= LONG and self.kind[i] != "T" or self.lines[i] == self.headline or self.coherent(self.lines[i]):
+        for step in (1, -1):
+            for i in [i for i in range(n) if own[i]][::step]:
+                if len(lines[i]) >= LONG or lines[i] == self.headline or self.coherent(lines[i]):
                     break
-                step = 1 if order is at else -1
                 j = i + step
-                while 0 <= j < n and (not self.lines[j]):
+                while 0 <= j < n and not lines[j]:
                     j += step
-                between = 0 <= j < n and (self.kind[j] in ("T", "R") and not own[j] or j in self.under)
-                if between:
+                if 0 <= j < n and not own[j] and (kind[j] in ("T", "R") or j in self.under):
                     own[i] = False
         at = [i for i in range(n) if own[i]]
-        if not at:
-            return []
-        first, last = at[0], at[-1]
-        for i in range(first + 1, last):
-            if self.kind[i] == "R" and not own[i] and i not in self.under and not CONTROLS.search(self.lines[i]) and len(self.lines[i]) < 60:
+        for i in range(at[0] + 1, at[-1]) if at else ():
+            if kind[i] == "R" and not own[i] and i not in self.under and len(lines[i]) < 60 and not CONTROLS.search(lines[i]):
                 own[i] = True  # a subhead or stock sentence between paragraphs
         return [i for i in range(n) if own[i]]
 
