@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from millrace.session import materialize
 
 FRINGE = " \t\r\xa0﻿​"
-SPACES = str.maketrans({0xA0: " ", 0x2009: " ", 0x202F: " "})
+SPACES = "\xa0\u2009\u202f"
 COMMON = 0.01
 SHARE, LEAST = 0.05, 3  # of a host's pages, and pages at least, that make an element the host's template
 ELSEWHERE = 3  # pages anywhere that make an element recurring
@@ -49,12 +49,16 @@ CONTROLS = re.compile(
     r"|commentaires?|lecture|imprimer|enregistrer|audio|e-?mail|javascript|browser|back to top|download|menu",
     re.I,
 )
-SENTENCE_END = re.compile(r"[.!?…][\"”»“']?$")
+ENDS, QUOTES = ".!?…", "\"”»“'"
 NUMBER = re.compile(r"[0-9]+")
 LABELLED = re.compile(r"([^:：]{2,24}?)\s?[:：]\s")
 LABEL_END = re.compile(r"^[^:：]{2,24}\s?[:：]\s")
 CAPITAL = re.compile(r"[A-ZÀ-Ý][\w'-]{3,}")
-LINES = "news_id long, site long, letters long, head long, doubt int, places array<int>, keys array<long>, elements array<long>, nexts array<int>, capitals array<string>"
+LINES = "news_id long, site long, letters long, head long, doubt int, places array<int>, keys array<long>, nexts array<int>, capitals array<string>"
+
+
+def ends_sentence(line: str) -> bool:
+    return line[-1:] in ENDS and line != "" or line[-1:] in QUOTES and line[-2:-1] in ENDS and len(line) > 1
 
 
 def digest(text: str, seed: int = 0) -> int:
@@ -70,7 +74,7 @@ def masked(line: str, host: str | None) -> str:
 
 def label_of(line: str, mask: str) -> str:
     """The label of a short line without the end of a sentence: what stands before its colon, else its first three words."""
-    if len(line) >= LONG or SENTENCE_END.search(line):
+    if len(line) >= LONG or ends_sentence(line):
         return ""
     if found := LABELLED.match(mask):
         return found[1] + ":"
@@ -78,33 +82,57 @@ def label_of(line: str, mask: str) -> str:
     return " ".join(words[:3]) if len(words) > 3 else ""
 
 
-def elements_of(host: str | None, headline: str, text: str) -> tuple[list[int], list[int], list[int], list[int], list[str]]:
-    """Places and keys of a page's elements (a label's place is that of its line, as ``~place``), its distinct keys, the
-    bit (of 64) of the short line that stands under each (-1: none does), and the capitalised words of its short lines."""
-    places, keys, capitals = [], [], set()
-    labels: list[tuple[int, int]] = []
-    under: dict[int, int] = {}
-    before = None
-    for place, line in enumerate(text.translate(SPACES).split("\n") if not text.isascii() else text.split("\n")):
-        line = line.strip(FRINGE)
-        if not line:
-            continue
+class Elements:
+    """Reads the elements of pages. What short lines hold is kept from page to page, since a site's lines recur."""
+
+    def __init__(self):
+        self.memo: dict[tuple[str, str], tuple[int, int, bool, list[str]]] = {}
+
+    def read(self, host: str, line: str) -> tuple[int, int, bool, list[str]]:
+        """Key, key of the label (0: none), whether it is short and ends no sentence, and the capitalised words of a line."""
         mask = masked(line, host)
-        key = digest(mask)
-        places.append(place)
-        keys.append(key)
-        short = len(line) < LONG and line != headline and not SENTENCE_END.search(line)
-        if before is not None and before not in under:
-            under[before] = (key >> 7) & 63 if short else -1
-        before = key
-        if short and (label := label_of(line, mask)):
-            labels.append((~place, digest(label, 1)))
-        if 30 <= len(line) <= LONGEST_UNDER:
-            capitals.update(CAPITAL.findall(line))
-    places += [p for p, _ in labels]
-    keys += [k for _, k in labels]
-    distinct = list(dict.fromkeys(keys))
-    return places, keys, distinct, [under.get(k, -1) for k in distinct], list(capitals)
+        short = len(line) < LONG and not ends_sentence(line)
+        label = label_of(line, mask) if short else ""
+        out = digest(mask), digest(label, 1) if label else 0, short, CAPITAL.findall(line) if len(line) >= 30 else []
+        if len(self.memo) > 200_000:
+            self.memo.clear()
+        self.memo[host, line] = out
+        return out
+
+    def of(self, host: str, headline: str, text: str) -> tuple[list[int], list[int], list[int], list[str]]:
+        """Places and keys of a page's elements (a label's place is that of its line, as ``~place``), for each the bit (of
+        64) of the short line that stands under it (-1: none does; -2: the key has come before), and the capitalised words
+        of its short lines."""
+        if not text.isascii():
+            for space in SPACES:
+                text = text.replace(space, " ")
+        places, keys, nexts, labels, capitals, known = [], [], [], {}, [], set()
+        get = self.memo.get
+        for place, line in enumerate(text.split("\n")):
+            line = line.strip(FRINGE)
+            if not line:
+                continue
+            if len(line) > LONGEST_UNDER:
+                key, label, short = digest(line), 0, False
+            else:
+                key, label, short, found = get((host, line)) or self.read(host, line)
+                capitals += found
+                if line == headline:
+                    label, short = 0, False
+            if short and nexts and nexts[-1] == -1:
+                nexts[-1] = (key >> 7) & 63
+            places.append(place)
+            keys.append(key)
+            nexts.append(-2 if key in known else -1)
+            known.add(key)
+            if label:
+                labels[~place] = label
+        for place, label in labels.items():
+            places.append(place)
+            keys.append(label)
+            nexts.append(-2 if label in known else -1)
+            known.add(label)
+        return places, keys, nexts, list(set(capitals))
 
 
 def hashed_lines(pages: DataFrame, screen=None) -> DataFrame:
@@ -112,6 +140,7 @@ def hashed_lines(pages: DataFrame, screen=None) -> DataFrame:
     of 64 bits for the headline (of the id, where it is blank); ``doubt`` is what ``screen(headlines, texts)`` says of it."""
 
     def run(batches):
+        elements = Elements()
         for b in batches:
             hosts, heads = ([x if isinstance(x, str) else "" for x in b[c]] for c in ("host", "headline"))
             texts, out = b["text"].tolist(), []
@@ -119,7 +148,7 @@ def hashed_lines(pages: DataFrame, screen=None) -> DataFrame:
             for key, host, headline, text, doubt in zip(b["news_id"], hosts, heads, texts, doubts):
                 bare = headline.strip()
                 bit = digest(bare.lower()) & 63 if bare else digest(str(key)) & 63
-                out.append((key, digest(host) if host else 0, len(text), (1 << bit) - (1 << 64 if bit == 63 else 0), int(doubt), *elements_of(host, bare, text)))
+                out.append((key, digest(host) if host else 0, len(text), (1 << bit) - (1 << 64 if bit == 63 else 0), int(doubt), *elements.of(host, bare, text)))
             yield pd.DataFrame(out, columns=[c.strip().split(" ")[0] for c in LINES.split(",")])
 
     return materialize(pages.filter("text IS NOT NULL").select("news_id", "host", "headline", "text").mapInPandas(run, LINES), "lines")
@@ -129,7 +158,7 @@ def element_counts(lines: DataFrame) -> DataFrame:
     """site, h, here, letters, heads, leads, led, all of the elements that more than one page carries: pages of the host,
     their letters, the bits of their headlines, the pages on which a short line stands under the element and the bits of
     those lines, and pages of all hosts."""
-    once = lines.select("site", "letters", "head", F.explode(F.arrays_zip(F.col("elements").alias("h"), F.col("nexts").alias("next"))).alias("e")).select("site", "letters", "head", "e.h", "e.next")
+    once = lines.select("site", "letters", "head", F.explode(F.arrays_zip(F.col("keys").alias("h"), F.col("nexts").alias("next"))).alias("e")).select("site", "letters", "head", "e.h", "e.next").filter("next > -2")
     follows = F.col("next") >= 0
     per_host = once.groupBy("site", "h").agg(
         F.count(F.lit(1)).alias("here"), F.sum("letters").alias("letters"), F.bit_or("head").alias("heads"), F.count_if(follows).alias("leads"), F.bit_or(F.when(follows, F.expr("shiftleft(1L, next)")).otherwise(F.lit(0))).alias("led")
@@ -286,7 +315,7 @@ class Page:
             elif kind[i] == "U":
                 own[i] = i not in self.labelled
             elif kind[i] == "R":
-                own[i] = len(x) > 30 and bool(SENTENCE_END.search(x))
+                own[i] = len(x) > 30 and ends_sentence(x)
         # short lines beyond a template line that have no word of the article are the site's
         for step in (1, -1):
             for i in [i for i in range(n) if own[i]][::step]:
