@@ -18,7 +18,10 @@ ROLES = [
     ("Design", ["designer", "ux", "ui"]),
     ("Sales", ["sales", "account executive", "solutions engineer"]),
 ]
+# Pricing models.
 PRICING = ["FREE", "FREEMIUM", "PAID", "ENTERPRISE", "UNKNOWN"]
+# Words that begin a banner line.
+BANNER_WORDS = ["cookie", "subscribe", "sign up", "advertisement", "newsletter"]
 WS = r"[\s\x1c-\x1f]"
 
 
@@ -112,7 +115,7 @@ def estimate_tokens(text: Column) -> Column:
 
 def strip_banner_lines(text: Column) -> Column:
     """Lines that begin as banners do and have at most 80 more letters go; three newlines become two; stripped."""
-    once = F.regexp_replace(text, rf"(?imduU)^{WS}*(cookie|subscribe|sign up|advertisement|newsletter).{{0,80}}$", "")
+    once = F.regexp_replace(text, rf"(?imduU)^{WS}*({'|'.join(BANNER_WORDS)}).{{0,80}}$", "")
     return py_strip(F.regexp_replace(once, r"\n{3,}", "\n\n"))
 
 

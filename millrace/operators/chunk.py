@@ -1,59 +1,81 @@
 """Chunking text under a token budget (T1) and merging what was extracted from chunks (A1, A3, M5).
 
-A text that fits is one chunk, made natively. Longer texts are packed in Arrow batches: packing carries a running count
-from paragraph to paragraph. Null texts give no chunk; an empty text gives one empty chunk; an overlap of 0 carries
-nothing.
+A text that fits is one chunk, made natively. For longer ones the cuts are decided first, on the paragraphs' sizes alone:
+a chunk's end is a search in their running sum. The text is sliced afterwards, in Arrow batches. Null texts give no chunk;
+an empty text gives one empty chunk; an overlap of 0 carries nothing.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from itertools import accumulate
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.text import estimate_tokens, strip_banner_lines
+from millrace.functions.text import BANNER_WORDS, estimate_tokens, strip_banner_lines
 
 PER_TOKEN = 4  # letters that count as a token
 BREAK = re.compile(r"\n\s*\n")
+BANNER = re.compile(rf"(?im)^\s*({'|'.join(BANNER_WORDS)}).{{0,80}}$")
+MORE_BREAKS = re.compile(r"\n{3,}")
 
 
-def tokens(text: str) -> int:
-    return max(1, len(text) // PER_TOKEN)
+def tokens(letters: int) -> int:
+    return max(1, letters // PER_TOKEN)
+
+
+class Cut(NamedTuple):
+    first: int  # paragraphs first..end-1
+    end: int
+    carried: int  # letters of the chunk before that lead this one; -1: one paragraph beyond the budget, cut hard
+
+
+def cuts(sizes: list[int], most: int, overlap: int) -> list[Cut]:
+    """Where paragraphs of these sizes are cut: as many to a chunk as the budget holds, one at least."""
+    need = [tokens(n) for n in sizes]
+    reach = [0, *accumulate(need)]
+    beyond = [i for i, n in enumerate(need) if n > most] + [len(sizes)]
+    out: list[Cut] = []
+    at, carried = 0, 0
+    while at < len(sizes):
+        if at == beyond[0]:
+            out.append(Cut(at, at + 1, -1))
+            at, carried = beyond.pop(0) + 1, 0
+            continue
+        room = most - (tokens(carried) if carried else 0)
+        end = min(beyond[0], max(at + 1, bisect_right(reach, reach[at] + room) - 1))
+        out.append(Cut(at, end, carried))
+        letters = sum(sizes[at:end]) + 2 * (end - at - 1) + (carried + 2 if carried else 0)
+        # only a chunk that ends for want of room leads into the next
+        carried = min(letters, overlap * PER_TOKEN) if end < beyond[0] else 0
+        at = end
+    return out
 
 
 def pack(clean: str, most: int, overlap: int) -> list[str]:
-    """Chunks of a text that exceeds the budget: paragraphs packed greedily, each chunk led by the end of the one before;
-    a paragraph beyond the budget is cut hard and begins and ends on its own."""
+    """The chunks of a text that exceeds the budget."""
+    paragraphs = [p for p in BREAK.split(clean) if p.strip()]
     out: list[str] = []
-    parts: list[str] = []
-    load = 0
-
-    def close() -> None:
-        nonlocal parts, load
-        if parts:
-            out.append("\n\n".join(parts))
-        parts, load = [], 0
-
-    for p in (x for x in BREAK.split(clean) if x.strip()):
-        need = tokens(p)
-        if need > most:
-            close()
-            width = most * PER_TOKEN
-            out.extend(p[i : i + width] for i in range(0, len(p), width))
-            continue
-        if load + need > most:
-            close()
-            if out and overlap > 0:
-                parts = [out[-1][-overlap * PER_TOKEN :]]
-                load = tokens(parts[0])
-        parts.append(p)
-        load += need
-    close()
+    for cut in cuts([len(p) for p in paragraphs], most, overlap):
+        if cut.carried < 0:
+            whole, width = paragraphs[cut.first], most * PER_TOKEN
+            out += [whole[k : k + width] for k in range(0, len(whole), width)]
+        else:
+            lead = [out[-1][-cut.carried :]] if cut.carried else []
+            out.append("\n\n".join(lead + paragraphs[cut.first : cut.end]))
     return out
 
 
+def chunks_of(text: str, most: int, overlap: int = 150) -> list[str]:
+    """``chunk`` of one text, outside Spark: for requests that a provider found too large."""
+    clean = MORE_BREAKS.sub("\n\n", BANNER.sub("", text)).strip()
+    return [clean] if tokens(len(clean)) <= most else pack(clean, most, overlap)
+
+
 def chunk(df: DataFrame, key: str, text: str, most: int = 6000, overlap: int = 150) -> DataFrame:
     """key, index, text, estimated_tokens"""
     clean = df.select(F.col(key), strip_banner_lines(F.col(text)).alias("clean")).filter("clean IS NOT NULL")

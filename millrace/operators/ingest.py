@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import dates, text
-from millrace.operators.resolve import resolve
+from millrace.operators.resolve import REVIEW, resolve
 
 
 def with_dates(crawl: DataFrame, reference: Column) -> DataFrame:
@@ -67,7 +67,7 @@ def gate_jobs(dated: DataFrame) -> DataFrame:
 def job_records(judged: DataFrame, dim: DataFrame, source_name: Column, collected_at: Column, apply_review_band: bool = True) -> DataFrame:
     """Typed job records of the kept rows. ``apply_review_band`` lets guesses below the accept threshold name the company."""
     kept = judged.filter("verdict = 'kept'").filter(text.valid_url(F.col("url"))).withColumn("raw_name", text.raw_company(F.col("full_text")))
-    named = resolve(kept, dim)
+    named = resolve(kept, dim, least=REVIEW)
     company = F.coalesce(F.col("best_guess" if apply_review_band else "canonical_name"), F.col("raw_name"))
     return named.select(
         "seq",

@@ -1,13 +1,14 @@
 """Normalising date texts of mixed form, precision and zone to one UTC instant.
 
-A text is reduced to its shape mask in the JVM (every digit becomes ``0``, every run of letters ``a``). Each distinct mask
-is mapped to a parser once per worker (``parser_for``); all texts of one mask in an Arrow batch then go through that
-parser together, and local times are converted with numpy searches in versioned zone transition tables
-(``ZoneTable``). No row is shuffled.
+A text is reduced to its shape mask in the JVM: every digit becomes ``0``, every word ``¤`` (``§`` if it has letters beyond
+ASCII), but for the words that the forms know. So a mask tells which form its texts follow, and each distinct mask is mapped
+to a parser once per worker (``parser_for``); all texts of one mask in an Arrow batch go through that parser together, and
+local times are converted with numpy searches in versioned zone transition tables (``ZoneTable``), made for the centuries
+that occur. No row is shuffled.
 
 Defined results: null, blank, unknown shapes, impossible dates, bare years, ages in months or years, local times of an
-unknown source, and local times that a zone skips or shows twice give null. Texts of more than ``MAX_LEN`` characters
-are no date texts and give null. Extra columns of the input pass through; the working columns carry a ``__ts_`` prefix.
+unknown source, local times that a zone skips or shows twice, and years outside 1 to 9998 give null; texts of any length
+are judged whole. Extra columns of the input pass through; the working columns carry a ``__ts_`` prefix.
 """
 
 from __future__ import annotations
@@ -24,10 +25,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_LEN = 96
 NONE = np.iinfo(np.int64).min
 SECOND, DAY = 1_000_000, 86_400_000_000
-LO, HI = 1900, 2199
+LO, HI = 1, 9998
 
 # Month names of the languages the feeds are written in.
 MONTHS = {
@@ -83,10 +83,18 @@ def fold(word: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFD", word.lower()) if not unicodedata.combining(c))
 
 
-@functools.lru_cache(4096)
+#: Words that forms know by themselves; any other word may stand for a month, a zone or a unit.
+KNOWN = ["T", "t", "W", "Z", "z", "h", "de", "st", "nd", "rd", "th", "à", "a", "las", "um", "at", "Uhr", "ago", "vor", "hace", "il", "y", *(x for am in ("am", "pm") for x in (am, am.upper(), am.title(), am[0] + "M")), "A", "P", "M", "p", "m"]
+PARSERS: dict[str, tuple[str, re.Pattern] | None] = {}
+
+
 def parser_for(mask: str, example: str) -> tuple[str, re.Pattern] | None:
-    """The form that a mask's texts follow; None if none fits. ``example`` stands in for the mask's letters."""
-    return next(((kind, form) for kind, form in FORMS if form.fullmatch(example)), None)
+    """The form that a mask's texts follow; None if none fits. Looked up once for a mask, with its first text."""
+    if mask not in PARSERS:
+        if len(PARSERS) >= 50_000:
+            PARSERS.clear()
+        PARSERS[mask] = next(((kind, form) for kind, form in FORMS if form.fullmatch(example)), None)
+    return PARSERS[mask]
 
 
 def tz_version() -> str:
@@ -102,11 +110,13 @@ def tz_version() -> str:
 class ZoneTable:
     """A zone's offsets between transitions: ``starts`` are UTC seconds, ``offsets`` seconds east of UTC from then on."""
 
-    def __init__(self, zone: zoneinfo.ZoneInfo):
+    def __init__(self, zone: zoneinfo.ZoneInfo, century: int):
         utc, week = dt.timezone.utc, 7 * 86400
         epoch = dt.datetime(1970, 1, 1, tzinfo=utc)
         off = lambda s: int((epoch + dt.timedelta(seconds=s)).astimezone(zone).utcoffset().total_seconds())
-        lo, hi = (int((dt.datetime(y, 1, 1, tzinfo=utc) - epoch).total_seconds()) for y in (LO, HI + 1))
+        # a month more at both ends, for local times next to them
+        lo = int((dt.datetime(max(1, 100 * century), 1, 1, tzinfo=utc) - epoch).total_seconds()) + (week if century == 0 else -4 * week)
+        hi = int((dt.datetime(min(9999, 100 * century + 100), 1, 1, tzinfo=utc) - epoch).total_seconds()) + 4 * week
         starts, offsets, last = [lo], [off(lo)], off(lo)
         for s in range(lo + week, hi, week):
             if (now := off(s)) != last:
@@ -130,12 +140,12 @@ class ZoneTable:
         return np.where(n == 1, found, NONE)
 
 
-@functools.lru_cache(700)
-def zone_table(name: str, version: str) -> ZoneTable | None:
+@functools.lru_cache(1400)
+def zone_table(name: str, version: str, century: int) -> ZoneTable | None:
     if version != tz_version():
         raise RuntimeError(f"zone rules {tz_version()} here, {version} on the driver")
     try:
-        return ZoneTable(zoneinfo.ZoneInfo(name))
+        return ZoneTable(zoneinfo.ZoneInfo(name), century)
     except (zoneinfo.ZoneInfoNotFoundError, ValueError, OSError, TypeError):
         return None
 
@@ -158,9 +168,10 @@ def parse_mask(kind: str, form: re.Pattern, text: pd.Series, zone: pd.Series, or
     year, ok = whole("Y"), g["Y"].notna().to_numpy(bool)
     if kind == "week":
         w, wd = whole("w"), whole("wd")
-        jan4 = pd.to_datetime(pd.Series(np.clip(year, LO, HI)).astype(str) + "-01-04").to_numpy().astype("datetime64[D]").astype(np.int64)
+        fourth = lambda y: (np.clip(y, LO, HI + 1) - 1970).astype("datetime64[Y]").astype("datetime64[D]").astype(np.int64) + 3
+        jan4 = fourth(year)
         monday = jan4 - (jan4 + 3) % 7
-        jan4_next = pd.to_datetime(pd.Series(np.clip(year, LO, HI) + 1).astype(str) + "-01-04").to_numpy().astype("datetime64[D]").astype(np.int64)
+        jan4_next = fourth(year + 1)
         ok &= (w >= 1) & (wd >= 1) & (wd <= 7) & (monday + 7 * w <= jan4_next - (jan4_next + 3) % 7)
         days = monday + 7 * (w - 1) + wd - 1
     else:
@@ -197,9 +208,9 @@ def parse_mask(kind: str, form: re.Pattern, text: pd.Series, zone: pd.Series, or
     ok &= np.abs(minutes) <= 18 * 60
     utc = np.where(has, local - minutes * 60, NONE)
     names = named.where(named.notna() & ~local_word, zone)
-    for name, at in names[~has].groupby(names[~has]).groups.items():
+    for (name, century), at in names[~has & ok].groupby([names[~has & ok], pd.Series(year // 100, names.index)[~has & ok]]).groups.items():
         i = names.index.get_indexer(at)
-        if (found := zone_table(name, version)) is not None:
+        if (found := zone_table(name, version, int(century))) is not None:
             utc[i] = found.to_utc(local[i])
     good = ok & (utc != NONE)
     out[good] = utc[good] * SECOND + micro[good]
@@ -211,22 +222,17 @@ def instants(text: pd.Series, mask: pd.Series, zone: pd.Series, order: pd.Series
     text, zone, order = (s.reset_index(drop=True) for s in (text, zone, order))
     for m, at in mask.reset_index(drop=True).groupby(mask.to_numpy()).groups.items():
         i, here = np.asarray(at), text.iloc[at].reset_index(drop=True)
-        # one mask may hold several wordings: each form takes what it matches, the rest goes on to the next example
-        while len(i):
-            if (found := parser_for(m, here.iloc[0])) is None:
-                took = (here == here.iloc[0]).to_numpy(bool)
-            else:
-                took = here.str.fullmatch(found[1]).to_numpy(bool)
-                j = np.flatnonzero(took)
-                pick = lambda s: s.iloc[i[j]].reset_index(drop=True)  # noqa: B023, E731
-                out[i[j]] = parse_mask(*found, pick(text), pick(zone), pick(order), ref[i[j]], version)
-            i, here = i[~took], here[~took].reset_index(drop=True)
+        if (found := parser_for(m, here.iloc[0])) is not None:
+            pick = lambda s: s.iloc[i].reset_index(drop=True)  # noqa: B023, E731
+            out[i] = parse_mask(*found, here, pick(zone), pick(order), ref[i], version)
     return pd.Series(out).where(out != NONE).astype("Int64")
 
 
 def shape_mask(text: Column) -> Column:
-    """Digits to ``0``, letter runs to ``a``; other characters stay."""
-    return F.regexp_replace(F.translate(text, "123456789", "000000000"), r"\p{L}+", "a")
+    """ASCII digits to ``0``, words but for ``KNOWN`` to ``¤`` or ``§``; other characters stay."""
+    known = "|".join(KNOWN)
+    plain = F.regexp_replace(F.translate(text, "123456789", "000000000"), rf"(?<!\p{{L}})(?!(?:{known})(?!\p{{L}}))[A-Za-z]+(?!\p{{L}})", "¤")
+    return F.regexp_replace(plain, rf"(?<!\p{{L}})(?!(?:{known})(?!\p{{L}}))\p{{L}}+", "§")
 
 
 def normalize_instants(df: DataFrame, text: Column, zone: Column, day_order: Column, reference: Column, out: str = "utc_us") -> DataFrame:
@@ -241,7 +247,7 @@ def normalize_instants(df: DataFrame, text: Column, zone: Column, day_order: Col
     convert = convert.asNondeterministic()
 
     clean = F.regexp_replace(F.regexp_replace(text, r"(?U)[\s​﻿]+", " "), "^ | $", "")
-    clean = F.when(F.length(clean) <= MAX_LEN, F.when(clean.rlike("[0-9]"), clean))
+    clean = F.when(clean.rlike("[0-9]"), clean)
     now = F.unix_micros(F.try_to_timestamp(reference.cast("string")))
     return (
         df.withColumn("__ts_text", clean)

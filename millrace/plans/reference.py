@@ -6,6 +6,9 @@ dates: it computes from the keys what the texts were made from.
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -13,7 +16,7 @@ from millrace.functions import dates, text
 from millrace.operators import chunk as chunks
 from millrace.operators import ingest, providers
 from millrace.operators.resolve import equality_tiers, mapping_log, register, resolve, review_queue
-from millrace.session import table
+from millrace.session import shared_dir, table
 from millrace.sources import feeds, sinks
 
 REFERENCE = "2024-01-30 12:00:00"
@@ -24,15 +27,18 @@ def stamp():
     return F.lit(REFERENCE).cast("timestamp")
 
 
+VISITS = 25  # of each page; its content is another document after every three
+
 CRAWL_SQL = f"""
 WITH crawl AS (
   SELECT event_id AS seq, event_type, ts,
-    'https://' || event_type || '.example.org/' || (event_id % 41) AS url,
+    'https://' || event_type || '.example.org/' || (event_id % pages) AS url,
     CASE event_id % 4 WHEN 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') || 'Z' WHEN 2 THEN 'on ' || strftime(ts, '%d.%m.') END AS structured_meta,
     CASE event_id % 4 WHEN 1 THEN (event_id % 60) || ' hours ago' WHEN 2 THEN (event_id % 5) || 'd' END AS relative_text,
     coalesce(d.text, '') AS full_text,
     TIMESTAMP '{REFERENCE}' AS ref
-  FROM events LEFT JOIN documents d ON d.doc_id = 1 + (event_id % 41) + 41 * ((event_id // 500) % 2)
+  FROM (SELECT *, greatest(1, (SELECT count(*) FROM events) // {VISITS}) AS pages, (SELECT count(*) FROM documents) AS docs FROM events)
+  LEFT JOIN documents d ON d.doc_id = 1 + (event_id // (3 * pages) * pages + event_id % pages) % docs
 ), dated AS (
   SELECT *,
     CASE event_id_mod WHEN 0 THEN 'structured' WHEN 3 THEN 'none' ELSE 'relative' END AS confidence,
@@ -52,16 +58,18 @@ ISO_SQL = "CASE confidence WHEN 'none' THEN '2024-01-30T12:00:00+00:00' ELSE str
 
 
 def crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
-    k = F.col("event_id") % 4
+    """Visits of pages whose content changes now and then, made from all events and all documents."""
+    e, d = table(spark, sf_dir, "events"), table(spark, sf_dir, "documents")
+    pages, docs = max(1, e.count() // VISITS), max(1, d.count())
+    k, page = F.col("event_id") % 4, F.col("event_id") % pages
     e = e.select(
         F.col("event_id").alias("seq"), "event_type",
-        F.concat(F.lit("https://"), "event_type", F.lit(".example.org/"), (F.col("event_id") % 41).cast("string")).alias("url"),
+        F.concat(F.lit("https://"), "event_type", F.lit(".example.org/"), page.cast("string")).alias("url"),
         F.when(k == 0, F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z"))).when(k == 2, F.concat(F.lit("on "), F.date_format("ts", "dd.MM."))).alias("structured_meta"),
         F.when(k == 1, F.concat((F.col("event_id") % 60).cast("string"), F.lit(" hours ago"))).when(k == 2, F.concat((F.col("event_id") % 5).cast("string"), F.lit("d"))).alias("relative_text"),
-        (1 + F.col("event_id") % 41 + 41 * (F.floor(F.col("event_id") / 500) % 2)).alias("page_doc"),
+        (1 + (F.floor(F.col("event_id") / (3 * pages)) * pages + page) % docs).alias("page_doc"),
     )
-    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("page_doc"), "text")
+    d = d.select(F.col("doc_id").alias("page_doc"), "text")
     return e.join(d, "page_doc", "left").withColumn("full_text", F.coalesce("text", F.lit(""))).drop("page_doc", "text")
 
 
@@ -105,7 +113,7 @@ def news_state(spark, sf_dir):
 def job_ingest(spark, sf_dir):
     records = ingest.job_records(ingest.gate_jobs(dated(spark, sf_dir)), table(spark, sf_dir, "canonical_entities"), F.col("event_type"), F.lit(COLLECTED))
     c = F.col("content")
-    return records.select("seq", c["rawCompany"].alias("raw_company"), c["date"].alias("date"), c["is_remote"].alias("is_remote"), c["role_family"].alias("role_family"))
+    return records.select("seq", c["rawCompany"].alias("raw_company"), c["company"].alias("company"), c["date"].alias("date"), c["is_remote"].alias("is_remote"), c["role_family"].alias("role_family"))
 
 
 def ingest_stats(spark, sf_dir):
@@ -124,52 +132,72 @@ def text_projections(spark, sf_dir):
 
 
 ROLE_SQL = "CASE " + " ".join("WHEN " + " OR ".join(f"contains(lower(text), '{w}')" for w in words) + f" THEN '{family}'" for family, words in text.ROLES) + " ELSE 'Unclassified' END"
-NAMES_SQL = """
-WITH names AS (
-  SELECT s_suppkey AS seq, CASE s_suppkey % 6 WHEN 0 THEN upper(n_name) WHEN 1 THEN n_name || ', Inc.' WHEN 2 THEN n_name || ' Labs' WHEN 3 THEN '  ' || n_name || '  ' WHEN 4 THEN substring(n_name, 1, 3) || substring(n_name, 5) ELSE 'Unrelated Trading House' END AS raw_name
-  FROM supplier JOIN nation ON s_nationkey = n_nationkey
-), dim AS (SELECT n_nationkey AS ord, n_name AS canonical FROM nation),
+WS_SQL = r"[\t-\r\x1c-\x20\x85\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
+
+def strip_sql(x: str) -> str:
+    return f"regexp_replace({x}, '^{WS_SQL}+|{WS_SQL}+$', '', 'g')"
+
+
+def norm_sql(x: str) -> str:
+    bare = rf"regexp_replace(regexp_replace({x}, '[.,]', '', 'g'), '(?i)\b({'|'.join(text.SUFFIXES)})\b', '', 'g')"
+    return f"lower({strip_sql(f"regexp_replace({bare}, '{WS_SQL}+', ' ', 'g')")})"
+
+
+#: The equality tiers, from the dictionary's definition: a later canonical name takes a key from earlier ones and from aliases.
+TIERS_SQL = f"""
+alias AS (SELECT ord, canonical, unnest(aliases) AS alias, unnest(range(len(aliases))) AS pos FROM canonical_entities WHERE canonical IS NOT NULL),
+exact AS (SELECT lower({strip_sql("canonical")}) AS key, arg_max(canonical, ord) AS c FROM canonical_entities WHERE canonical IS NOT NULL GROUP BY 1),
+by_alias AS (SELECT lower({strip_sql("alias")}) AS key, max(struct_pack(o := ord, p := pos, c := canonical)).c AS c FROM alias WHERE alias IS NOT NULL GROUP BY 1),
+spelled AS (SELECT {norm_sql("canonical")} AS key, ord, -1 AS pos, canonical FROM canonical_entities WHERE canonical IS NOT NULL UNION ALL SELECT {norm_sql("alias")}, ord, pos, canonical FROM alias WHERE alias IS NOT NULL),
+norm AS (SELECT key, coalesce(max(struct_pack(o := ord, c := canonical)) FILTER (pos = -1).c, min(struct_pack(o := ord, p := pos, c := canonical)).c) AS c FROM spelled WHERE key <> '' GROUP BY 1)
+""".replace("max(struct_pack(o := ord, c := canonical)) FILTER (pos = -1).c", "(max(struct_pack(o := ord, c := canonical)) FILTER (pos = -1)).c")
+NAMES_SQL = f"""
+WITH {TIERS_SQL.strip()},
+names AS (SELECT 'job' AS kind, job_id AS id, content.rawcompany AS raw_name FROM jobs UNION ALL SELECT 'log', log_id, raw_name FROM entity_mapping_log),
 tiers AS (
-  SELECT n.seq, n.raw_name, e.canonical AS c1, x.canonical AS c3
-  FROM names n LEFT JOIN dim e ON lower(trim(n.raw_name)) = lower(e.canonical)
-  LEFT JOIN dim x ON trim(regexp_replace(regexp_replace(regexp_replace(lower(n.raw_name), '[.,]', '', 'g'), '\\b(inc|incorporated|llc|ltd|limited|corp|corporation|co|pbc|plc|gmbh|sas|technologies|labs|ai|ml)\\b', '', 'g'), '\\s+', ' ', 'g')) = lower(x.canonical)
+  SELECT n.*, e.c AS c1, a.c AS c2, x.c AS c3 FROM names n LEFT JOIN exact e ON lower({strip_sql("n.raw_name")}) = e.key LEFT JOIN by_alias a ON lower({strip_sql("n.raw_name")}) = a.key
+  LEFT JOIN norm x ON {norm_sql("n.raw_name")} = x.key WHERE n.raw_name IS NOT NULL
 )
 """
 
 
 def raw_names(spark, sf_dir):
-    s = table(spark, sf_dir, "supplier").join(F.broadcast(table(spark, sf_dir, "nation")), F.col("s_nationkey") == F.col("n_nationkey"))  # nation: 25 rows
-    k, n = F.col("s_suppkey") % 6, F.col("n_name")
-    raw = F.when(k == 0, F.upper(n)).when(k == 1, F.concat(n, F.lit(", Inc."))).when(k == 2, F.concat(n, F.lit(" Labs"))).when(k == 3, F.concat(F.lit("  "), n, F.lit("  "))).when(k == 4, F.concat(F.substring(n, 1, 3), F.substring(n, 5, 100))).otherwise("Unrelated Trading House")
-    return s.select(F.col("s_suppkey").alias("seq"), raw.alias("raw_name"), F.lit("").alias("source_url"))
+    """The names of all postings and of the whole log, as they were typed."""
+    jobs = table(spark, sf_dir, "jobs").select(F.lit("job").alias("kind"), F.col("job_id").alias("id"), F.col("content.rawcompany").alias("raw_name"), F.col("source.url").alias("source_url"))
+    log = table(spark, sf_dir, "entity_mapping_log").select(F.lit("log").alias("kind"), F.col("log_id").alias("id"), "raw_name", "source_url")
+    return jobs.unionByName(log).filter("raw_name IS NOT NULL")
 
 
-def nation_dimension(spark, sf_dir):
-    return table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("ord"), F.col("n_name").alias("canonical"), F.array().cast("array<string>").alias("aliases"))
+def entities(spark, sf_dir):
+    return table(spark, sf_dir, "canonical_entities")
 
 
-def resolve_exact_alias_norm(spark, sf_dir):
+def tiered(spark, sf_dir):
     names = raw_names(spark, sf_dir)
-    tiers = equality_tiers(names.select("raw_name").distinct(), nation_dimension(spark, sf_dir))
-    return names.join(tiers, "raw_name").filter("canonical_name IS NOT NULL").select("seq", "raw_name", "canonical_name", "confidence", "method")
+    return names.join(equality_tiers(names.select("raw_name").distinct(), entities(spark, sf_dir)), "raw_name")
+
+
+def resolve_exact_alias_norm(spark, sf_dir):
+    return tiered(spark, sf_dir).filter("canonical_name IS NOT NULL").select("kind", "id", "raw_name", "canonical_name", "confidence", "method")
 
 
 def unresolved_anti(spark, sf_dir):
     names = raw_names(spark, sf_dir)
-    tiers = equality_tiers(names.select("raw_name").distinct(), nation_dimension(spark, sf_dir))
-    return names.join(tiers.filter("canonical_name IS NOT NULL"), "raw_name", "left_anti").select("seq", "raw_name")
+    tiers = equality_tiers(names.select("raw_name").distinct(), entities(spark, sf_dir))
+    return names.join(tiers.filter("canonical_name IS NOT NULL"), "raw_name", "left_anti").select("kind", "id", "raw_name")
 
 
 def resolve_fuzzy(spark, sf_dir):
-    return resolve(raw_names(spark, sf_dir), nation_dimension(spark, sf_dir)).select("seq", "raw_name", "canonical_name", "best_guess", "confidence", "method")
+    return resolve(raw_names(spark, sf_dir), entities(spark, sf_dir)).select("kind", "id", "raw_name", "canonical_name", "best_guess", "confidence", "method")
 
 
 def mapping_log_query(spark, sf_dir):
-    return mapping_log(resolve(raw_names(spark, sf_dir), nation_dimension(spark, sf_dir)))
+    return mapping_log(resolve(raw_names(spark, sf_dir), entities(spark, sf_dir)))
 
 
 def review(spark, sf_dir):
-    return review_queue(resolve(raw_names(spark, sf_dir), nation_dimension(spark, sf_dir))).select("seq", "raw_name", "best_guess", "confidence")
+    return review_queue(resolve(raw_names(spark, sf_dir), entities(spark, sf_dir))).select("kind", "id", "raw_name", "best_guess", "confidence")
 
 
 def html_pages(spark, sf_dir):
@@ -190,11 +218,11 @@ WITH pages AS (
 
 def page_fields(spark, sf_dir):
     h = F.col("html")
-    return html_pages(spark, sf_dir).select("doc_id", F.length(text.strip_tags(h)).alias("bare_length"), text.stars_hint(F.regexp_extract(h, r"(?s)</p>(.*)$", 1)).alias("stars"), text.code_host_url(h).alias("repo_url"), text.bot_walled(h, F.col("status")).alias("bot_walled"))
+    return html_pages(spark, sf_dir).select("doc_id", F.length(text.strip_tags(h)).alias("bare_length"), text.stars_hint(h).alias("stars"), text.code_host_url(h).alias("repo_url"), text.bot_walled(h, F.col("status")).alias("bot_walled"))
 
 
 def page_title(spark, sf_dir):
-    return html_pages(spark, sf_dir).filter(F.col("html").rlike(r"^[\x20-\x7e\n]*$")).select("doc_id", text.page_title(F.col("html")).alias("title"))
+    return html_pages(spark, sf_dir).select("doc_id", text.page_title(F.col("html")).alias("title"))
 
 
 def page_host(spark, sf_dir):
@@ -209,18 +237,18 @@ def url_quarantine(spark, sf_dir):
 
 def repo_stats_join(spark, sf_dir):
     """Papers as entries whose summary holds their repository address; metrics are their own earlier captures."""
-    papers = table(spark, sf_dir, "papers").filter("content.github_url IS NOT NULL")
+    papers = table(spark, sf_dir, "papers")
     url = F.regexp_replace("content.github_url", "^https://codehost[.]example/", "https://codehost.example/")
     owner, repo = text.code_host_repo(url, "codehost.example")
-    stats = papers.select(owner.alias("owner"), repo.alias("repo"), F.col("content.github_stars").alias("stargazers_count"), F.struct("loaded_at", "capture_id").alias("fetched_at"))
-    entries = papers.select("capture_id", F.col("content.title").alias("title"), F.concat(F.lit("see "), url, F.lit(".")).alias("summary"), F.col("content.paper_url").alias("paper_url"), F.col("content.authors").alias("authors"), F.col("content.published_date").alias("published"))
+    stats = papers.filter("content.github_url IS NOT NULL").select(owner.alias("owner"), repo.alias("repo"), F.col("content.github_stars").alias("stargazers_count"), F.struct("loaded_at", "capture_id").alias("fetched_at"))
+    entries = papers.select("capture_id", F.col("content.title").alias("title"), F.coalesce(F.concat(F.lit("see "), url, F.lit(".")), F.lit("no code")).alias("summary"), F.col("content.paper_url").alias("paper_url"), F.col("content.authors").alias("authors"), F.col("content.published_date").alias("published"))
     made = ingest.paper_records(entries.withColumn("authors", F.coalesce("authors", F.array().cast("array<string>"))), stats, F.lit("feed"), F.lit(COLLECTED), "codehost.example")
     c = F.col("content")
     return made.groupBy(c["github_url"].alias("github_url"), c["github_stars"].alias("github_stars")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def atom_feed(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").filter(F.col("text").isNotNull() & F.col("text").rlike(r"^[\x20-\x7e\n]*$"))
+    d = table(spark, sf_dir, "documents").filter("text IS NOT NULL")
     esc = lambda c: F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
     xml = F.concat(F.lit('<feed xmlns="http://www.w3.org/2005/Atom"><entry><id>http://x/'), F.col("doc_id").cast("string"), F.lit("</id><title>  "), esc(F.substring("text", 1, 40)), F.lit(" </title><summary>"), esc(F.col("text")), F.lit("</summary><published>2024-01-02T03:04:05Z</published><author><name>A "), F.col("doc_id").cast("string"), F.lit("</name></author><author><name>B</name></author></entry></feed>"))
     entries = feeds.feed_entries(d.select("doc_id", xml.alias("xml")))
@@ -247,23 +275,58 @@ def token_estimate(spark, sf_dir):
 
 def strip_boilerplate(spark, sf_dir):
     t = F.concat(F.lit("Subscribe to our newsletter\n\n\n\n"), F.replace(F.col("text"), F.lit("\n"), F.lit("\n\n\n")), F.lit("\n  Cookie note\nend"))
-    ascii_ = F.col("text").rlike(r"^[\x21-\x7e][\x20-\x7e\n]*$")
-    return table(spark, sf_dir, "documents").filter("text IS NOT NULL").filter(ascii_).select("doc_id", F.sha2(text.strip_banner_lines(t), 256).alias("clean_sha256"))
+    return table(spark, sf_dir, "documents").filter("text IS NOT NULL").select("doc_id", F.sha2(text.strip_banner_lines(t), 256).alias("clean_sha256"))
+
+
+def chunked(spark, sf_dir, made: str, most: int, overlap: int = 150):
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.expr(made).alias("text"))
+    return chunks.chunk(docs, "doc_id", "text", most, overlap).select("doc_id", "index", "estimated_tokens", F.sha2("text", 256).alias("text_sha256"))
+
+
+#: Texts whose lines are paragraphs.
+PARAGRAPHS = "replace(text, '\n', '\n\n')"
 
 
 def chunk_fit(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").filter("n_chars > 0").filter(F.col("text").rlike(r"^[\x21-\x7e][\x20-\x7e]*[\x21-\x7e]$"))
-    return chunks.chunk(docs, "doc_id", "text", 10_000).select("doc_id", "index", "estimated_tokens", F.sha2("text", 256).alias("text_sha256"))
+    return chunked(spark, sf_dir, "text", 10_000)
 
 
 def chunk_hard_slice(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").filter("n_chars > 0").filter(F.col("text").rlike(r"^[\x21-\x7e][\x20-\x7e]*[\x21-\x7e]$"))
-    return chunks.chunk(docs, "doc_id", "text", 50).select("doc_id", "index", "estimated_tokens", F.sha2("text", 256).alias("text_sha256"))
+    """Paragraphs beyond the budget, among others."""
+    return chunked(spark, sf_dir, "text", 50)
 
 
 def chunk_packed(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.replace(F.col("text"), F.lit("\n"), F.lit("\n\n")).alias("text"))
-    return chunks.chunk(docs, "doc_id", "text", 120, 20).select("doc_id", "index", "estimated_tokens", F.sha2("text", 256).alias("text_sha256"))
+    return chunked(spark, sf_dir, PARAGRAPHS, 120, 20)
+
+
+def chunk_sql(made: str, most: int, overlap: int = 150) -> str:
+    """Chunks by recursion from paragraph to paragraph: doc_id, index, piece."""
+    carry = f"right(open, {4 * overlap})"
+    return f"""WITH RECURSIVE cleaned AS (
+      SELECT doc_id, {strip_sql(f"regexp_replace(regexp_replace({made}, '(?im)^{WS_SQL}*({'|'.join(text.BANNER_WORDS)}).{{0,80}}$', '', 'g'), chr(10) || '{{3,}}', chr(10) || chr(10), 'g')")} AS clean FROM documents WHERE text IS NOT NULL
+    ), pars AS (
+      SELECT doc_id, p, greatest(1, length(p) // 4) AS need, row_number() OVER (PARTITION BY doc_id ORDER BY k) AS i FROM (
+        SELECT doc_id, unnest(ps) AS p, unnest(range(len(ps))) AS k FROM (SELECT doc_id, regexp_split_to_array(clean, chr(10) || '{WS_SQL}*' || chr(10)) AS ps FROM cleaned WHERE length(clean) // 4 > {most})
+      ) WHERE regexp_matches(p, '[^{WS_SQL[1:]}')
+    ), step AS (
+      SELECT doc_id, 0::BIGINT AS i, NULL::VARCHAR AS open, 0::BIGINT AS load, []::VARCHAR[] AS done FROM (SELECT DISTINCT doc_id FROM pars)
+      UNION ALL
+      SELECT s.doc_id, p.i,
+        CASE WHEN need > {most} THEN NULL WHEN load + need > {most} THEN {f"{carry} || chr(10) || chr(10) ||" if overlap else ""} p ELSE coalesce(open || chr(10) || chr(10), '') || p END,
+        CASE WHEN need > {most} THEN 0 WHEN load + need > {most} THEN {f"greatest(1, length({carry}) // 4)" if overlap else "0"} + need ELSE load + need END,
+        CASE WHEN need > {most} THEN list_concat(CASE WHEN open IS NULL THEN [] ELSE [open] END, list_transform(range(CAST(ceil(length(p) / {4.0 * most}) AS BIGINT)), lambda k: substring(p, k * {4 * most} + 1, {4 * most}))) WHEN load + need > {most} THEN [open] ELSE [] END
+      FROM step s JOIN pars p ON p.doc_id = s.doc_id AND p.i = s.i + 1
+    ), pieces AS (
+      SELECT doc_id, i, unnest(done) AS piece, unnest(range(len(done))) AS k FROM step
+      UNION ALL SELECT doc_id, 1 + max(i), arg_max(open, i), 0 FROM step GROUP BY doc_id HAVING max(struct_pack(i := i, o := open)).o IS NOT NULL
+    ), chunks AS (
+      SELECT doc_id, 0 AS index, clean AS piece FROM cleaned WHERE length(clean) // 4 <= {most}
+      UNION ALL SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY i, k) - 1 AS INTEGER), piece FROM pieces
+    ) """
+
+
+CHUNKS_OUT = "SELECT doc_id, index, CAST(greatest(1, length(piece) // 4) AS INTEGER) AS estimated_tokens, sha256(piece) AS text_sha256 FROM chunks"
 
 
 def chunk_rows(spark, sf_dir):
@@ -277,7 +340,7 @@ def chunk_rows(spark, sf_dir):
 def merge_extractions(spark, sf_dir):
     rows = chunk_rows(spark, sf_dir).groupBy("doc_id", "chunk_idx").agg(F.max("title").alias("title"), F.max("stars").alias("stars"), F.max("authors").alias("authors"))
     merged = chunks.merge_typed(rows, "doc_id", "chunk_idx", ["title", "stars"], ["authors"])
-    return merged.select("doc_id", "title", "stars", F.array_join(F.array_sort("authors"), "|").alias("authors"))
+    return merged.select("doc_id", "title", "stars", F.array_join("authors", "|").alias("authors"))
 
 
 def responses(spark, sf_dir):
@@ -373,7 +436,7 @@ def extraction_prompts(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "url", "text")
     made = chunks.chunk(docs, "doc_id", "text", 10_000).join(docs.select("doc_id", "url"), "doc_id")
     prompt = text.extraction_prompt(F.coalesce("url", F.lit("")), F.lit('{"title": "string"}'), F.col("text"))
-    return made.select("doc_id", "index", F.substring(prompt, 1, 60).alias("prompt_head"))
+    return made.select("doc_id", "index", F.sha2(prompt, 256).alias("prompt_sha256"))
 
 
 def retry_after(spark, sf_dir):
@@ -384,14 +447,89 @@ def retry_after(spark, sf_dir):
 
 def resolve_registered(spark, sf_dir):
     """A name that a new version of the dimension knows and the old one doesn't."""
-    dim = register(nation_dimension(spark, sf_dir), "Unrelated Trading House", ["UTH"])
-    names = raw_names(spark, sf_dir)
-    tiers = equality_tiers(names.select("raw_name").distinct(), dim)
-    return names.join(tiers, "raw_name").filter("canonical_name = 'Unrelated Trading House'").select("seq", "canonical_name", "confidence", "method")
+    s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("seq"), F.when(F.col("s_suppkey") % 2 == 0, "Unrelated Trading House").otherwise("uth").alias("raw_name"))
+    dim = register(entities(spark, sf_dir), "Unrelated Trading House", ["UTH"])
+    return s.join(equality_tiers(s.select("raw_name").distinct(), dim), "raw_name").select("seq", "canonical_name", "confidence", "method")
+
+
+#: Forms of one instant: the text as Spark's pattern, and the instant's unit.
+ISO_FORMS = [
+    ("yyyy-MM-dd'T'HH:mm:ss'Z'", "second"), ("yyyyMMdd'T'HHmmss", "second"), ("yyyy-MM-dd", "day"), ("yyyy-MM-dd HH:mm", "minute"), ("yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "microsecond"), ("yyyy-MM-dd'T'HH:mm:ss,SSS", "millisecond"),
+    ("yyyyMMdd'T'HH", "hour"), ("yyyy-MM-dd'x'HH:mm:ss'+05:30'", "second"), ("yyyy-MM-dd'T'HHmm'-0100'", "minute"), ("yyyy-DDD", ""), ("dd MMM yyyy", ""),
+]
+SHIFTED = {7: 19_800, 8: -3_600}
+
+
+def date_iso_forms(spark, sf_dir):
+    """Instants of texts in basic, week, fraction and offset forms, and of texts that are no dates."""
+    k = F.col("event_id") % (len(ISO_FORMS) + 1)
+    # the day's ISO week, in the basic form for every second one
+    thursday = F.date_add(F.to_date("ts"), 3 - F.weekday("ts"))
+    week = F.concat(F.year(thursday).cast("string"), F.lit("-W"), F.lpad(F.weekofyear("ts").cast("string"), 2, "0"), F.lit("-"), (F.weekday("ts") + 1).cast("string"))
+    said = F.when(F.col("event_id") % 2 == 0, F.replace(week, F.lit("-"), F.lit(""))).otherwise(week)
+    for i, (form, _) in enumerate(ISO_FORMS):
+        said = F.when(k == i, F.date_format("ts", form)).otherwise(said)
+    return table(spark, sf_dir, "events").select("event_id", said.alias("said")).select("event_id", F.unix_micros(dates.parse_structured(F.col("said"))["ts"]).alias("us"))
+
+
+ISO_FORMS_SQL = "SELECT event_id, CASE event_id % " + str(len(ISO_FORMS) + 1) + " " + " ".join(f"WHEN {i} THEN " + (f"epoch_us(date_trunc('{unit}', ts)) - {SHIFTED.get(i, 0)}000000" if unit else "NULL") for i, (_, unit) in enumerate(ISO_FORMS)) + " ELSE epoch_us(date_trunc('day', ts)) END AS us FROM events"
+#: Phrases by n, with the seconds they lie back (as SQL of n); NULL: no age.
+PHRASES = [
+    ("just now", "30"), (" Moments ago ", "60"), ("TODAY", "3600"), ("yesterday", "129600"), ("# seconds ago", "n"), ("#min ago", "60 * n"), ("posted # hrs ago, updated 1 day ago", "3600 * n"), ("#d", "86400 * n"), ("# W", "604800 * n"), ("# weeks ago", "604800 * n"),
+    ("# months ago", "2592000 * n"), ("# year ago", "31536000 * n"), ("an hour ago", "NULL"), ("#h ago", "NULL"), ("#m ago", "NULL"), ("in # days", "NULL"), ("", "NULL"),
+]
+
+
+def date_phrases(spark, sf_dir):
+    """Every kind of relative phrase."""
+    k, n = F.col("event_id") % len(PHRASES), (F.col("event_id") % 97).cast("string")
+    said = F.lit(None).cast("string")
+    for i, (phrase, _) in enumerate(PHRASES):
+        said = F.when(k == i, F.replace(F.lit(phrase), F.lit("#"), n)).otherwise(said)
+    return table(spark, sf_dir, "events").select("event_id", dates.seconds_ago(said).alias("seconds_ago"))
+
+
+PHRASES_SQL = "SELECT event_id, CAST(CASE event_id % " + str(len(PHRASES)) + " " + " ".join(f"WHEN {i} THEN {said}" for i, (_, said) in enumerate(PHRASES)) + " END AS BIGINT) AS seconds_ago FROM (SELECT event_id, event_id % 97 AS n FROM events)"
+
+
+def sink_files(spark, sf_dir):
+    """All tabs written as files, the same again over them, and read back."""
+    names = {"Startups": "startups", "Research Papers": "papers", "Jobs": "jobs", "News": "news"}
+    tabs = {tab: typed(spark, sf_dir, name) for tab, name in names.items()} | {"Entity Mapping Log": table(spark, sf_dir, "entity_mapping_log")}
+    base = f"{shared_dir(spark)}/millrace-tabs-{uuid.uuid4().hex}"
+    sinks.write_all({"News": tabs["News"]}, base)
+    paths = sinks.write_all(tabs, base)
+    counts = [spark.read.parquet(path).agg(F.lit(tab).alias("tab"), F.count(F.lit(1)).alias("n")) for tab, path in paths.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def url_batch(spark, sf_dir):
+    """A handler over all postings' addresses as fetched pages, some of them disallowed, some failing."""
+    k = F.col("job_id") % 5
+    jobs = table(spark, sf_dir, "jobs").select(F.concat_ws("#", "source.url", F.col("job_id").cast("string")).alias("url"), F.when(k == 0, -1).otherwise(200).alias("status"), F.when(k == 1, "").otherwise(F.col("content.title")).alias("html"))
+
+    def handler(row):
+        if not row["html"]:
+            raise ValueError("empty page")
+        return {"letters": len(row["html"])}
+
+    return providers.run_url_batch(jobs, handler)
+
+
+def paragraph_counts(spark, sf_dir):
+    """E5"""
+    return table(spark, sf_dir, "documents").filter("text IS NOT NULL").select("doc_id", F.size(text.paragraphs(F.expr(PARAGRAPHS))).alias("n"))
+
+
+def collected(spark, sf_dir):
+    """How many records each run has collected so far, by the stamp that the run's start gave them."""
+    rows = table(spark, sf_dir, "news").select(F.to_date("loaded_at").cast("string").alias("day")).groupBy("day").agg(F.count(F.lit(1)).alias("n"))
+    # one row a day: the window holds the calendar, not the data
+    return rows.withColumn("so_far", F.sum("n").over(Window.orderBy("day").rowsBetween(Window.unboundedPreceding, 0)))
 
 
 QUERIES = {
-    "feed_requests": feed_requests, "repo_links": repo_links, "extraction_prompts": extraction_prompts, "retry_after": retry_after, "resolve_registered": resolve_registered,
+    "feed_requests": feed_requests, "repo_links": repo_links, "date_iso_forms": date_iso_forms, "date_phrases": date_phrases, "sink_files": sink_files, "url_batch": url_batch, "paragraph_counts": paragraph_counts, "collected": collected, "extraction_prompts": extraction_prompts, "retry_after": retry_after, "resolve_registered": resolve_registered,
     "freshness_structured": freshness_structured, "date_relative": date_relative, "date_normalize": date_normalize, "news_ingest": news_ingest, "news_state": news_state, "job_ingest": job_ingest,
     "ingest_stats": ingest_stats, "content_hash_dedup": content_hash_dedup, "text_projections": text_projections, "resolve_exact_alias_norm": resolve_exact_alias_norm, "resolve_fuzzy": resolve_fuzzy,
     "mapping_log": mapping_log_query, "unresolved_anti": unresolved_anti, "review_queue": review, "page_fields": page_fields, "page_title": page_title, "page_host": page_host, "url_quarantine": url_quarantine,
@@ -401,12 +539,11 @@ QUERIES = {
     "sink_jobs": sink_jobs, "sink_news": sink_news, "sink_mapping_log": sink_mapping_log,
 }
 
-ASCII_DOC = r"regexp_full_match(text, '[\x21-\x7e][\x20-\x7e]*[\x21-\x7e]')"
 SQL = {
     "feed_requests": "SELECT s AS start, 100 AS max_results, 'https://feed.example/query?search_query=cat:cs.AI&start=' || s || '&max_results=100&sortBy=submittedDate&sortOrder=descending' AS url FROM (SELECT unnest(range(0, (SELECT count(*) FROM papers), 100)) AS s)",
     "repo_links": """SELECT DISTINCT content.paper_url AS paper_id, CASE WHEN length(content.paper_url) % 2 = 0 THEN '{"paper": "' || content.paper_url || '"}' END AS repositories FROM papers WHERE content.paper_url IS NOT NULL""",
     "retry_after": "SELECT n_nationkey, CASE n_nationkey % 4 WHEN 0 THEN nullif(n_nationkey::DOUBLE, 0) WHEN 1 THEN n_nationkey + 0.5 END::DOUBLE AS seconds FROM nation",
-    "resolve_registered": "SELECT s_suppkey AS seq, 'Unrelated Trading House' AS canonical_name, 1.0::DOUBLE AS confidence, 'exact' AS method FROM supplier WHERE s_suppkey % 6 = 5",
+    "resolve_registered": "SELECT s_suppkey AS seq, 'Unrelated Trading House' AS canonical_name, CASE WHEN s_suppkey % 2 = 0 THEN 1.0::DOUBLE ELSE 0.98::DOUBLE END AS confidence, CASE WHEN s_suppkey % 2 = 0 THEN 'exact' ELSE 'alias' END AS method FROM supplier",
     "freshness_structured": f"SELECT event_id, CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS ts_seconds FROM events WHERE date_trunc('second', ts) <= TIMESTAMP '{REFERENCE}' AND date_trunc('second', ts) >= TIMESTAMP '{REFERENCE}' - INTERVAL 24 HOUR",
     "date_relative": "SELECT event_id AS seq, CASE event_id % 4 WHEN 1 THEN (event_id % 60) * 3600 ELSE (event_id % 5) * 86400 END AS seconds_ago FROM events WHERE event_id % 4 IN (1, 2)",
     "date_normalize": CRAWL_SQL + "SELECT seq, strftime(pub, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS iso_timestamp, confidence, is_fresh AS is_fresh_24h FROM fresh",
@@ -416,28 +553,36 @@ SQL = {
       second AS (SELECT a.seq, a.url, a.confidence, a.content_hash, coalesce(lag(a.content_hash) OVER (PARTITION BY a.url ORDER BY a.seq), s.content_hash) AS earlier FROM alive a LEFT JOIN state s ON s.url = a.url WHERE NOT first_run)
       SELECT seq, CASE WHEN confidence <> 'none' OR earlier IS NULL OR earlier <> content_hash THEN 'kept' ELSE 'duplicate' END AS verdict FROM second
       UNION ALL SELECT seq, 'stale' FROM fresh WHERE confidence <> 'none' AND NOT is_fresh AND seq % 1000 >= 500""",
-    "job_ingest": CRAWL_SQL + f"SELECT seq, substring(split_part(text, chr(10), 1), 1, 120) AS raw_company, {ISO_SQL} AS date, contains(lower(text), 'remote') AS is_remote, {ROLE_SQL} AS role_family FROM (SELECT *, full_text AS text FROM fresh) WHERE coalesce(is_fresh, false)",
+    "job_ingest": CRAWL_SQL.rstrip() + f", {TIERS_SQL.strip()} SELECT seq, substring(split_part(text, chr(10), 1), 1, 120) AS raw_company, coalesce(e.c, a.c, x.c, substring(split_part(text, chr(10), 1), 1, 120)) AS company, {ISO_SQL} AS date, contains(lower(text), 'remote') AS is_remote, {ROLE_SQL} AS role_family FROM (SELECT *, full_text AS text, substring(split_part(full_text, chr(10), 1), 1, 120) AS said FROM fresh) LEFT JOIN exact e ON lower({strip_sql("said")}) = e.key LEFT JOIN by_alias a ON lower({strip_sql("said")}) = a.key LEFT JOIN norm x ON {norm_sql("said")} = x.key WHERE coalesce(is_fresh, false)",
     "ingest_stats": CRAWL_SQL + "SELECT event_type AS source_name, count(*) + 1 AS fetched, count(*) FILTER (verdict = 'kept') AS fresh_kept, count(*) FILTER (verdict = 'stale') AS stale_dropped, count(*) FILTER (verdict = 'duplicate') AS dedup_dropped, count(*) FILTER (confidence = 'none') AS no_date_signal FROM judged GROUP BY 1",
     "content_hash_dedup": "SELECT doc_id, content_hash FROM (SELECT doc_id, content_hash, lag(content_hash) OVER (PARTITION BY source ORDER BY doc_id) AS before FROM (SELECT doc_id, source, sha256(substring(text, 1, 2000)) AS content_hash FROM documents WHERE text IS NOT NULL)) WHERE before IS NULL OR before <> content_hash",
     "text_projections": f"SELECT doc_id, substring(split_part(text, chr(10), 1), 1, 200) AS headline, substring(split_part(text, chr(10), 1), 1, 120) AS raw_company, contains(lower(text), 'remote') AS is_remote, {ROLE_SQL} AS role_family FROM documents WHERE text IS NOT NULL",
-    "resolve_exact_alias_norm": NAMES_SQL + "SELECT seq, raw_name, coalesce(c1, c3) AS canonical_name, CASE WHEN c1 IS NOT NULL THEN 1.0::DOUBLE ELSE 0.95::DOUBLE END AS confidence, CASE WHEN c1 IS NOT NULL THEN 'exact' ELSE 'alias' END AS method FROM tiers WHERE coalesce(c1, c3) IS NOT NULL",
-    "unresolved_anti": NAMES_SQL + "SELECT seq, raw_name FROM tiers WHERE c1 IS NULL AND c3 IS NULL",
-    "page_fields": HTML_SQL + "SELECT doc_id, length(regexp_replace(html, '<[^>]+>', '', 'g')) AS bare_length, n_chars AS stars, 'https://github.com/o' || doc_id || '/r.x' AS repo_url, status = 403 OR length(html) < 200 OR " + " OR ".join(f"contains(lower(html), '{m}')" for m in text.BOT_WALL) + " AS bot_walled FROM pages",
-    "page_title": HTML_SQL + r"SELECT doc_id, trim(translate(head, '<>' || chr(10), '()_') || ' x') AS title FROM pages WHERE regexp_full_match(html, '[\x20-\x7e\n]*')",
+    "resolve_exact_alias_norm": NAMES_SQL + "SELECT kind, id, raw_name, coalesce(c1, c2, c3) AS canonical_name, CASE WHEN c1 IS NOT NULL THEN 1.0::DOUBLE WHEN c2 IS NOT NULL THEN 0.98::DOUBLE ELSE 0.95::DOUBLE END AS confidence, CASE WHEN c1 IS NOT NULL THEN 'exact' ELSE 'alias' END AS method FROM tiers WHERE coalesce(c1, c2, c3) IS NOT NULL",
+    "unresolved_anti": NAMES_SQL + "SELECT kind, id, raw_name FROM tiers WHERE coalesce(c1, c2, c3) IS NULL",
+    "page_fields": HTML_SQL + "SELECT doc_id, length(regexp_replace(html, '<[^>]+>', '', 'g')) AS bare_length, try_cast(nullif(replace(regexp_extract(html, '(?i)([0-9,]+)\\s*stars?', 1), ',', ''), '') AS BIGINT) AS stars, 'https://github.com/o' || doc_id || '/r.x' AS repo_url, status = 403 OR length(html) < 200 OR " + " OR ".join(f"contains(lower(html), '{m}')" for m in text.BOT_WALL) + " AS bot_walled FROM pages",
+    "page_title": HTML_SQL + f"SELECT doc_id, {strip_sql("translate(head, '<>' || chr(10), '()_') || ' x'")} AS title FROM pages",
     "page_host": "SELECT doc_id, regexp_extract(url, '^https?://([^/]+)', 1) AS host FROM documents",
     "url_quarantine": "SELECT coalesce(starts_with(source.url, 'http://') OR starts_with(source.url, 'https://'), false) AS valid, count(*) AS n FROM jobs GROUP BY 1",
-    "repo_stats_join": "WITH p AS (SELECT capture_id, loaded_at, content.github_stars AS stars, content.github_url AS url FROM papers WHERE content.github_url IS NOT NULL), s AS (SELECT url, arg_max(stars, (loaded_at, capture_id)) AS _ignored, max(struct_pack(l := loaded_at, c := capture_id, s := stars)).s AS github_stars FROM p GROUP BY url) SELECT p.url AS github_url, s.github_stars, count(*) AS n FROM p JOIN s ON p.url = s.url GROUP BY 1, 2",
-    "atom_feed": r"SELECT doc_id, 'http://x/' || doc_id AS paper_url, '2024-01-02T03:04:05Z' AS published, sha256(trim(substring(text, 1, 40), ' ' || chr(10))) AS title_sha, length(trim(text, ' ' || chr(10))) AS summary_length, 'A ' || doc_id || '|B' AS authors FROM documents WHERE text IS NOT NULL AND regexp_full_match(text, '[\x20-\x7e\n]*')",
+    "repo_stats_join": "WITH p AS (SELECT capture_id, loaded_at, content.github_stars AS stars, content.github_url AS url FROM papers), s AS (SELECT url, max(struct_pack(l := loaded_at, c := capture_id, s := stars)).s AS github_stars FROM p WHERE url IS NOT NULL GROUP BY url) SELECT p.url AS github_url, s.github_stars, count(*) AS n FROM p LEFT JOIN s ON p.url = s.url GROUP BY 1, 2",
+    "atom_feed": f"SELECT doc_id, 'http://x/' || doc_id AS paper_url, '2024-01-02T03:04:05Z' AS published, sha256({strip_sql("substring(text, 1, 40)")}) AS title_sha, length({strip_sql("text")}) AS summary_length, 'A ' || doc_id || '|B' AS authors FROM (SELECT doc_id, replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)) AS text FROM documents WHERE text IS NOT NULL AND NOT regexp_matches(text, '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f]'))",
     "feed_newest": "SELECT capture_id FROM papers ORDER BY collectedat DESC, capture_id LIMIT 100",
     "listing_details": "SELECT coalesce(source, 'none') AS listing_url, CAST(row_number() OVER (PARTITION BY coalesce(source, 'none') ORDER BY doc_id) - 1 AS INTEGER) AS pos, CAST(doc_id AS VARCHAR) AS url, length(text) AS page_length FROM documents",
     "robots": "SELECT doc_id, coalesce(NOT (length(host) % 2 = 0 AND starts_with(regexp_extract(d.url, '^https?://[^/]+(/.*)$', 1), '/doc/1')), true) AS allowed FROM documents d LEFT JOIN feed_sources f ON regexp_extract(d.url, '^https?://([^/]+)', 1) = f.host",
     "token_estimate": "SELECT doc_id, CAST(greatest(1, length(text) // 4) AS INTEGER) AS tokens FROM documents WHERE text IS NOT NULL",
-    "strip_boilerplate": r"SELECT doc_id, sha256(trim(regexp_replace(regexp_replace('Subscribe to our newsletter' || repeat(chr(10), 4) || replace(text, chr(10), repeat(chr(10), 3)) || chr(10) || '  Cookie note' || chr(10) || 'end', '(?im)^\s*(cookie|subscribe|sign up|advertisement|newsletter).{0,80}$', '', 'g'), '\n{3,}', chr(10) || chr(10), 'g'), ' ' || chr(10))) AS clean_sha256 FROM documents WHERE text IS NOT NULL AND regexp_full_match(text, '[\x21-\x7e][\x20-\x7e\n]*')",
-    "chunk_fit": f"SELECT doc_id, 0 AS index, CAST(greatest(1, length(text) // 4) AS INTEGER) AS estimated_tokens, sha256(text) AS text_sha256 FROM documents WHERE n_chars > 0 AND {ASCII_DOC}",
-    "chunk_hard_slice": f"SELECT doc_id, CAST(i AS INTEGER) AS index, CAST(greatest(1, length(piece) // 4) AS INTEGER) AS estimated_tokens, sha256(piece) AS text_sha256 FROM (SELECT doc_id, i, CASE WHEN fits THEN text ELSE substring(text, 1 + 200 * i, 200) END AS piece FROM (SELECT doc_id, text, length(text) // 4 <= 50 AS fits, unnest(range(CASE WHEN length(text) // 4 <= 50 THEN 1 ELSE CAST(ceil(length(text) / 200) AS BIGINT) END)) AS i FROM documents WHERE n_chars > 0 AND {ASCII_DOC}))",
+    "strip_boilerplate": f"SELECT doc_id, sha256({strip_sql(f"regexp_replace(regexp_replace('Subscribe to our newsletter' || repeat(chr(10), 4) || replace(text, chr(10), repeat(chr(10), 3)) || chr(10) || '  Cookie note' || chr(10) || 'end', '(?im)^{WS_SQL}*({'|'.join(text.BANNER_WORDS)}).{{0,80}}$', '', 'g'), chr(10) || '{{3,}}', chr(10) || chr(10), 'g')")}) AS clean_sha256 FROM documents WHERE text IS NOT NULL",
+    "chunk_fit": chunk_sql("text", 10_000) + CHUNKS_OUT,
+    "chunk_packed": chunk_sql("replace(text, chr(10), chr(10) || chr(10))", 120, 20) + CHUNKS_OUT,
+    "extraction_prompts": chunk_sql("text", 10_000) + """SELECT c.doc_id, c.index, sha256('SOURCE URL: ' || coalesce(d.url, '') || chr(10) || 'TARGET SCHEMA: {"title": "string"}' || chr(10) || chr(10) || 'TEXT:' || chr(10) || c.piece) AS prompt_sha256 FROM chunks c JOIN documents d ON d.doc_id = c.doc_id""",
+    "date_iso_forms": ISO_FORMS_SQL,
+    "date_phrases": PHRASES_SQL,
+    "sink_files": " UNION ALL ".join(f"SELECT '{tab}' AS tab, count(*) AS n FROM {name}" for tab, name in (("Startups", "startups"), ("Research Papers", "papers"), ("Jobs", "jobs"), ("News", "news"), ("Entity Mapping Log", "entity_mapping_log"))),
+    "url_batch": """SELECT concat_ws('#', source.url, job_id) AS url, CASE WHEN job_id % 5 <> 1 AND length(content.title) > 0 THEN '{"letters": ' || length(content.title) || '}' END AS result, CASE WHEN job_id % 5 = 1 OR coalesce(length(content.title), 0) = 0 THEN 'ValueError: empty page' END AS error FROM jobs WHERE job_id % 5 <> 0""",
+    "paragraph_counts": f"SELECT doc_id, CAST(len(list_filter(regexp_split_to_array(replace(text, chr(10), chr(10) || chr(10)), chr(10) || '{WS_SQL}*' || chr(10)), lambda q: regexp_matches(q, '[^{WS_SQL[1:]}'))) AS INTEGER) AS n FROM documents WHERE text IS NOT NULL",
+    "collected": "SELECT CAST(CAST(loaded_at AS DATE) AS VARCHAR) AS day, count(*) AS n, CAST(sum(count(*)) OVER (ORDER BY CAST(loaded_at AS DATE)) AS BIGINT) AS so_far FROM news GROUP BY CAST(loaded_at AS DATE)",
+    "chunk_hard_slice": chunk_sql("text", 50) + CHUNKS_OUT,
     "merge_extractions": """WITH r AS (SELECT l_orderkey AS doc_id, l_linenumber AS i, max(CASE WHEN l_linenumber % 3 = 0 THEN l_returnflag END) AS title, max(CASE WHEN l_quantity > 20 THEN l_partkey END) AS stars, max([l_returnflag, l_linestatus]) AS authors FROM lineitem GROUP BY ALL)
       SELECT doc_id, arg_min(title, i) FILTER (title IS NOT NULL AND title <> '') AS title, arg_min(stars, i) FILTER (stars IS NOT NULL) AS stars,
-        CASE WHEN count(*) = 1 THEN list_aggregate(list_sort(any_value(authors)), 'string_agg', '|') ELSE list_aggregate(list_sort(list_distinct(flatten(list(authors)))), 'string_agg', '|') END AS authors FROM r GROUP BY doc_id""",
+        array_to_string(CASE WHEN count(*) = 1 THEN any_value(authors) ELSE list_filter(flatten(list(authors ORDER BY i)), lambda x, k: list_position(flatten(list(authors ORDER BY i)), x) = k) END, '|') AS authors FROM r GROUP BY doc_id""",
     "merge_json": RESPONSES_SQL + "SELECT doc_id, 'v' AS field, CAST(min(chunk_idx) AS VARCHAR) AS value FROM good GROUP BY doc_id",
     "provider_fallback": RESPONSES_SQL + "SELECT doc_id, chunk_idx, 'p' || rank AS provider FROM good",
     "extract_provenance": RESPONSES_SQL + "SELECT doc_id, 'p' || arg_min(rank, chunk_idx) AS provider_used, count(*) AS chunks_used, bool_or(rank > 0) AS degraded FROM good GROUP BY doc_id",

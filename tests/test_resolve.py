@@ -2,7 +2,7 @@
 
 import difflib
 
-from millrace.operators.resolve import dimension, indices, mapping_log, register, resolve, review_queue
+from millrace.operators.resolve import dimension, fuzzy_tier, indices, mapping_log, register, resolve, review_queue
 
 DIM = {"Nordwind AI": ["Nordwind AI, Inc.", "Nord Wind", "Nordwind LP"], "Anthrasol": ["Anthrasol PBC"], "zAI": ["Z AI Corp"], "Weights & Beams": ["W&B"], "Kelvino Labs": []}
 
@@ -31,7 +31,8 @@ def test_tiers(spark):
 def test_scores_and_ties_against_stdlib(spark):
     dim = dimension(spark, {f"NATION_{i}": [] for i in range(25)})
     names = ["NATION_1x", "NATON_3", "NTION_10", "nation-22", "NATION", "QQQ"]
-    keys = [(r["key"], r["canonical"]) for r in indices(dim)[2].orderBy("first_ord").collect()]
+    keys = [(r["key"], r["canonical"]) for r in indices(dim)[2].orderBy("first").collect()]
+    tiny = {r["raw_name"]: r["fuzzy_name"] for r in fuzzy_tier(spark.createDataFrame([(n, n.lower()) for n in names], "raw_name string, norm string"), dim, 7).collect()}
     for name, row in zip(names, resolved(spark, names, dim)):
         best, score = None, 0.0
         for key, canonical in keys:
@@ -39,6 +40,7 @@ def test_scores_and_ties_against_stdlib(spark):
             if s > score:
                 best, score = canonical, s
         assert row["confidence"] == round(score, 3)
+        assert tiny[name] == best  # blocks of keys give the same
         assert row["best_guess"] == (best if score >= 0.70 else None)
         assert row["method"] == ("fuzzy" if score >= 0.86 else "unresolved")
 

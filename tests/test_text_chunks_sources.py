@@ -1,6 +1,10 @@
 """Text scalars, chunking, merging, providers, feeds and sinks."""
 
+import re
+
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from millrace.functions import text
@@ -77,7 +81,7 @@ def test_merging(spark):
     df = spark.createDataFrame(rows, "id int, i int, title string, stars int, authors array<string>").repartition(3)
     got = {r["id"]: (r["title"], r["stars"], r["authors"]) for r in chunks.merge_typed(df, "id", "i", ["title", "stars"], ["authors"]).collect()}
     assert got == {1: ("t", 0, ["a", "b", "c"]), 2: (None, None, ["x", "x"]), 3: (None, None, None)}
-    assert providers.merge_dicts([{"a": None, "n": 0, "l": []}, {"a": "x", "n": 1, "l": [1]}, {"a": ["y"], "l": [1, {"k": 1}]}]) == {"a": "x", "n": 0, "l": [1, {"k": 1}]}
+    assert providers.merged([{"a": None, "n": 0, "l": []}, {"a": "x", "n": 1, "l": [1]}, {"a": ["y"], "l": [1, {"k": 1}]}]) == {"a": "x", "n": 0, "l": [1, {"k": 1}]}
     body = spark.createDataFrame([(1, 0, '{"a": null, "l": ["p"]}'), (1, 1, '{"a": "v", "l": ["p", "q"]}')], "doc_id int, chunk_idx int, body string")
     assert sorted((r["field"], r["value"]) for r in chunks.merge_json(body).collect()) == [("a", "v"), ("l", '["p","q"]')]
 
@@ -95,16 +99,42 @@ class Fake:
 
 
 def test_providers():
-    cfg, slept = providers.Backoff(), []
-    assert [min(60.0, 2.0**a) for a in range(7)] == [1, 2, 4, 8, 16, 32, 60]
-    assert providers.delay(3, cfg, rng=lambda: 1.0) == 8.0 and providers.delay(0, cfg, 7.0, rng=lambda: 1.0) == 7.5
-    flaky = Fake("a", [providers.RateLimited(1.0), providers.RateLimited(), {"x": 1}])
-    assert providers.one_chunk("p", "s", [flaky], cfg, slept.append) == ({"x": 1}, "a") and len(slept) == 2
-    assert providers.one_chunk("p", "s", [Fake("a", [ValueError("no")]), Fake("b", [{"y": 2}])], cfg, slept.append) == ({"y": 2}, "b")
+    slept = []
+    policy = providers.Backoff(draw=lambda: 1.0, sleep=slept.append)
+    assert [*policy.ceilings(), 60.0] == [1, 2, 4, 8, 16, 32, 60]
+    ask = lambda *tried, policy=policy, prompt="p": [(o.provider, o.answer) for o in providers.Fallback(list(tried), "s", policy).outcomes(prompt)]
+    flaky = Fake("a", [providers.RateLimited(7.0), providers.RateLimited(), {"x": 1}])
+    assert ask(flaky) == [("a", {"x": 1})] and slept == [7.5, 2.0]
+    assert ask(Fake("a", [ValueError("no")]), Fake("b", [{"y": 2}]), Fake("c", [{}])) == [("a", None), ("b", {"y": 2})]
     big = Fake("a", [providers.TooLarge(), {"k": "v"}, {"k": "w"}])
-    assert providers.one_chunk("w " * 5000, "s", [big], cfg, slept.append)[0] == {"k": "v"}
-    with pytest.raises(RuntimeError):
-        providers.one_chunk("p", "s", [Fake("a", [providers.RateLimited()])], providers.Backoff(retries=1), slept.append)
+    assert ask(big, prompt="w " * 5000) == [("a", {"k": "v"})] and big.calls == 3
+    never = Fake("a", [providers.RateLimited()])
+    assert ask(never, policy=providers.Backoff(retries=1, sleep=slept.append)) == [("a", None)] and never.calls == 2
+    assert providers.distinct([1, [2], 1, [2], 3]) == [1, [2], 3]
+
+
+def packed_by_hand(text, most, overlap):
+    """Paragraph by paragraph, on texts."""
+    out, here, led = [], [], False
+    size = lambda parts: sum(max(1, len(p) // 4) for p in parts)
+    for p in [p for p in re.split(r"\n\s*\n", text) if p.strip()]:
+        if size([p]) > most:
+            out += ["\n\n".join(here)] if here else []
+            out += [p[i : i + 4 * most] for i in range(0, len(p), 4 * most)]
+            here = []
+        elif size([*here, p]) > most:
+            out.append("\n\n".join(here))
+            here = [out[-1][-4 * overlap :], p] if overlap else [p]
+        else:
+            here.append(p)
+    return out + (["\n\n".join(here)] if here else [])
+
+
+@given(st.lists(st.integers(1, 90), max_size=14), st.integers(2, 15), st.integers(0, 6))
+@settings(max_examples=300, deadline=None)
+def test_packing_by_sizes_is_packing_by_hand(sizes, most, overlap):
+    text = "\n\n".join(chr(97 + i) * n for i, n in enumerate(sizes))
+    assert chunks.pack(text, most, overlap) == packed_by_hand(text, most, overlap)
 
 
 def test_feeds(spark):
@@ -136,7 +166,7 @@ def test_url_batch_keeps_errors(spark):
 
 
 def test_extraction_inside_spark(spark):
-    prompts = spark.createDataFrame([(1, 0, "p"), (1, 1, "fail")], "doc_id long, chunk_idx int, prompt string")
+    prompts = spark.createDataFrame([(2**60 + 1, 0, "p"), (None, 1, "fail")], "doc_id long, chunk_idx int, prompt string")
 
     class Echo:
         name = "echo"
@@ -147,7 +177,7 @@ def test_extraction_inside_spark(spark):
             return {"said": user}
 
     got = providers.extract_chunks(prompts, lambda: [Echo()], "sys").orderBy("chunk_idx").collect()
-    assert (got[0]["body"], got[0]["degraded"], got[0]["error"]) == ('{"said": "p"}', False, None)
+    assert (got[0]["body"], got[0]["degraded"], got[0]["error"]) == ('{"said": "p"}', False, None) and got[0]["doc_id"] == 2**60 + 1
     assert got[1]["body"] is None and "no" in got[1]["error"]
 
 
