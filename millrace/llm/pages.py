@@ -23,7 +23,7 @@ import re
 
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.session import materialize
@@ -163,8 +163,8 @@ def element_counts(lines: DataFrame) -> DataFrame:
     per_host = once.groupBy("site", "h").agg(
         F.count(F.lit(1)).alias("here"), F.sum("letters").alias("letters"), F.bit_or("head").alias("heads"), F.count_if(follows).alias("leads"), F.bit_or(F.when(follows, F.expr("shiftleft(1L, next)")).otherwise(F.lit(0))).alias("led")
     )
-    anywhere = per_host.groupBy("h").agg(F.sum("here").alias("all")).filter("all >= 2")
-    return per_host.join(anywhere, "h")
+    # one row a host here, so the window holds the hosts that share an element
+    return per_host.withColumn("all", F.sum("here").over(Window.partitionBy("h"))).filter("all >= 2")
 
 
 def host_sizes(lines: DataFrame) -> DataFrame:
@@ -173,14 +173,14 @@ def host_sizes(lines: DataFrame) -> DataFrame:
 
 
 def flagged(counts: DataFrame, sizes: DataFrame) -> DataFrame:
-    """r_site, r_h, flags, all, mean: what the elements' counts make of them, and the mean letters of their pages."""
+    """r_key, flags, all, mean: what the elements' counts make of them, and the mean letters of their pages."""
     template = F.col("here") >= F.greatest(F.lit(float(LEAST)), SHARE * F.col("host_pages"))
     # copies of an article stand under one headline or few, elements of the site under as many as there are pages
     varied = F.bit_count("heads") >= F.least(F.lit(float(VARIED)), F.col("here") / 2, F.bit_count("host_heads") / 2)
     root = template & (F.col("leads") >= LEADS * F.col("here")) & (F.bit_count("led") >= F.least(F.lit(float(LED)), 0.75 * F.col("leads")))
     flags = [(template, TEMPLATE), (template & varied, SITE), (template & varied & (F.col("here") >= WIDE * F.col("host_pages")), MOST), (root, ROOT)]
     sized = counts.join(sizes, F.col("site") == F.col("size_site"))
-    return sized.select(F.col("site").alias("r_site"), F.col("h").alias("r_h"), sum(F.when(c, F.lit(bit)).otherwise(F.lit(0)) for c, bit in flags).alias("flags"), "all", (F.col("letters") / F.col("here")).alias("mean"))
+    return sized.select(F.xxhash64("site", "h").alias("r_key"), sum(F.when(c, F.lit(bit)).otherwise(F.lit(0)) for c, bit in flags).alias("flags"), "all", (F.col("letters") / F.col("here")).alias("mean"))
 
 
 def with_counts(pages: DataFrame, lines: DataFrame, chosen: DataFrame | None = None) -> DataFrame:
@@ -188,11 +188,11 @@ def with_counts(pages: DataFrame, lines: DataFrame, chosen: DataFrame | None = N
     of all hosts. With ``chosen`` (of ``lines``), only those pages."""
     recurring = flagged(element_counts(lines), host_sizes(lines))
     own = lines if chosen is None else chosen
-    placed = own.select("news_id", "site", "letters", "doubt", F.explode(F.arrays_zip(F.col("places").alias("p"), F.col("keys").alias("k"))).alias("e")).select("news_id", "site", "letters", "doubt", "e.p", "e.k")
+    placed = own.select("news_id", "site", "letters", F.explode(F.arrays_zip(F.col("places").alias("p"), F.col("keys").alias("k"))).alias("e")).select("news_id", "letters", "e.p", F.xxhash64("site", "e.k").alias("key"))
     alone = F.when(F.col("mean") <= ALIKE * F.col("letters"), F.lit(ALONE)).otherwise(F.lit(0))
     place = F.when(F.col("p") < 0, -F.col("p") - 1).otherwise(F.col("p")).cast("long")
     mark = F.shiftleft(place, 8) + F.col("flags") + alone + F.when(F.col("p") < 0, F.lit(LABEL)).otherwise(F.lit(0))
-    marked = placed.join(recurring, (F.col("k") == F.col("r_h")) & (F.col("site") == F.col("r_site"))).select("news_id", mark.alias("mark"), "all")
+    marked = placed.join(recurring, F.col("key") == F.col("r_key")).select("news_id", mark.alias("mark"), "all")
     # pages with nothing that recurs have their doubt, too
     marks = marked.unionByName(own.filter("doubt > 0").select("news_id", F.lit(-1).cast("long").alias("mark"), F.col("doubt").cast("long").alias("all")))
     marks = marks.groupBy("news_id").agg(F.collect_list("mark").alias("marks"), F.collect_list("all").alias("counts"))
