@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import functools
 import math
+import zlib
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -21,25 +22,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm.distance import deletes, weighted_distance
-from millrace.llm.matching import reference_entries
-from millrace.llm.names import SECTORS, Name, letter_mask, parse, says_nothing
+from millrace.llm.matching import grammar_of, reference_blocks
+from millrace.llm.names import Grammar, Name, letter_mask, says_nothing
 from millrace.session import materialize, table
 
 #: Records from which a form is met by the rarer ones, level by level: each level first meets the roots above it.
 LEVELS = (32, 4, 0)
 EDIT = 4.6  # -log probability of one edit
 DROPPED, INITIAL, TURNED, JOINED = 0.4, 0.3, 0.1, 0.1  # in edits
-CLEAR = 3
+LONGEST_CUT = 40  # letters of a word whose deletions are all keys
+CERTAIN = 0.75  # posterior share among whole names from which a name cut to its first word means one of them
 LARGEST = 1 << 62
 LISTED = 8  # records that being on the reference list stands for
 OWN = 10.0  # posterior that a form beyond this many nats is an organisation of its own
 
 
-def form_of(raw: str) -> str:
+def form_of(raw: str, grammar: Grammar) -> str:
     """The parsed name as text: words, sector and initials between bars; empty if the name says nothing."""
     if says_nothing(raw):
         return ""
-    name = parse(raw)
+    name = grammar.parse(raw)
     return f"{' '.join(name.core)}|{name.sector}|{name.initials}" if name.core else ""
 
 
@@ -131,19 +133,33 @@ def signature(form: str) -> int:
     return letter_mask(form.split("|", 1)[0].replace(" ", ""))
 
 
+def typo_keys(word: str, depth: int) -> set[str]:
+    """Keys that two words share if ``depth`` deletions on both sides make them equal. Words of more than ``LONGEST_CUT``
+    letters, whose deletions would be many, are cut in parts instead, one more than edits: one part stays whole and moves
+    by ``depth`` letters at most."""
+    if len(word) <= LONGEST_CUT:
+        return deletes(word, depth)
+    out, n, parts = set(), len(word), depth + 1
+    for size in range(n - depth, n + depth + 1):  # letters of the other word
+        for p in range(parts):
+            a, b = size * p // parts, size * (p + 1) // parts
+            out |= {f"~{p}:{size}:{word[s : s + b - a]}" for s in range(max(0, a - depth), min(a + depth, n - b + a) + 1)}
+    return out
+
+
 def variant_keys(form: str) -> set[str]:
     """Keys that a variant shares with what it may stand for: its words up to one deletion, joined words marked."""
     name = name_of(form)
     out: set[str] = set()
     for w in name.core:
         if len(w) > 1:
-            out |= deletes(w, 1) if len(w) >= 5 else {w}
+            out |= typo_keys(w, 1) if len(w) >= 5 else {w}
     if len(name.core) == 1:
         w = name.core[0]
         if len(w) >= 9:
-            out |= {"+" + d for d in deletes(w, 1)}
+            out |= {"+" + d for d in typo_keys(w, 1)}
         if len(w) >= 5 and not name.initials:  # two edits in the only word
-            out |= {d + "+" + name.sector for d in deletes(w, 2)}
+            out |= {d + "+" + name.sector for d in typo_keys(w, 2)}
     return {k for k in out if len(k) >= 3}
 
 
@@ -153,11 +169,11 @@ def meant_keys(form: str) -> set[str]:
     out = variant_keys(form)
     if len(name.core) == 2:
         x, y = name.core
-        out |= {"+" + d for joined in (x + y, y + x) for d in deletes(joined, 1)}
+        out |= {"+" + d for joined in (x + y, y + x) for d in typo_keys(joined, 1)}
         if name.sector:  # longer: met exactly, or with a letter too many in the variant
             out |= {"+" + joined for joined in (x + y + name.sector, y + x + name.sector, y + name.sector + x)}
     elif len(name.core) == 1 and name.sector:
-        out |= {"+" + d for d in deletes(name.core[0] + name.sector, 1)}
+        out |= {"+" + d for d in typo_keys(name.core[0] + name.sector, 1)}
     return out
 
 
@@ -170,11 +186,11 @@ def with_keys(forms: DataFrame, keys) -> DataFrame:
             yield pd.DataFrame(
                 {
                     "id": b["id"], "n": b["n"], "mask": b["form"].map(signature), "key": b["form"].map(lambda f: list(keys(f))),
-                    "whole": [completeness(name_of(f)) for f in b["form"]], "sector": [SECTORS.index(p[1]) if p[1] else -1 for p in parts], "initial": [bool(p[2]) for p in parts], "words": [p[0].count(" ") + 1 for p in parts],
+                    "whole": [completeness(name_of(f)) for f in b["form"]], "sector": [zlib.crc32(p[1].encode()) if p[1] else -1 for p in parts], "initial": [bool(p[2]) for p in parts], "words": [p[0].count(" ") + 1 for p in parts],
                 }
             ).explode("key").dropna()
 
-    out = forms.select("id", "form", "n").mapInPandas(emit, "id long, n long, mask long, key string, whole int, sector int, initial boolean, words int")
+    out = forms.select("id", "form", "n").mapInPandas(emit, "id long, n long, mask long, key string, whole int, sector long, initial boolean, words int")
     return out.withColumn("key", F.xxhash64("key"))
 
 
@@ -218,20 +234,20 @@ def roots(links: DataFrame) -> DataFrame:
         links = step.select("form", "root")
 
 
-def link_forms(forms: DataFrame, reference: DataFrame | None = None) -> DataFrame:
+def link_forms(forms: DataFrame, reference: DataFrame | None = None, grammar: Grammar | None = None) -> DataFrame:
     """form, root for every form of ``forms`` (form, n). ``reference`` adds its spellings and what they mean."""
     spark = forms.sparkSession
     known = []
-    if reference is not None:
-        entries = reference_entries(reference)
+    grammar = grammar or grammar_of(reference)
+    for entries in reference_blocks(reference) if reference is not None else ():
         for _, canonical, aliases in entries:
-            target = form_of(canonical)
-            known += [(form_of(a), target) for a in [canonical, *(aliases or [])] if target and form_of(a)]
+            target = form_of(canonical, grammar)
+            known += [(form_of(a, grammar), target) for a in [canonical, *(aliases or [])] if a and target and form_of(a, grammar)]
     listed = spark.createDataFrame(sorted(set(known)), "form string, parent string")
     extra = listed.select(F.col("parent").alias("form"), F.lit(0).cast("long").alias("n"))
     extra = extra.unionByName(listed.select("form", F.lit(0).cast("long").alias("n"))).distinct()
     all_forms = forms.filter("form <> ''").unionByName(extra).groupBy("form").agg(F.sum("n").alias("n"))
-    fixed = F.broadcast(listed.groupBy("form").agg(F.min("parent").alias("parent"))).withColumn("listed", F.lit(True))
+    fixed = listed.groupBy("form").agg(F.min("parent").alias("parent")).withColumn("listed", F.lit(True))
     all_forms = all_forms.join(fixed.select("form", "listed"), "form", "left").select(F.xxhash64("form").alias("id"), "form", F.when(F.col("listed"), F.greatest("n", F.lit(LISTED))).otherwise(F.col("n")).alias("n"), F.coalesce("listed", F.lit(False)).alias("listed"))
     all_forms = materialize(all_forms, "forms")
     free = all_forms.filter("NOT listed")
@@ -261,22 +277,23 @@ def listed_only(forms: DataFrame) -> DataFrame:
 
 
 def short_names(placed: DataFrame) -> DataFrame:
-    """form, whole: one-word names without sector that are the first word of one two-word organisation, or of one that
-    has ``CLEAR`` times the records of the next."""
+    """form, whole: one-word names without sector, as what was left of a two-word name that begins with the word. The
+    channel cuts all of these alike, so the posterior of one is its share of the records of all; it must be ``CERTAIN``."""
     first = F.split("root", r"[ |]")[0]
     heads = placed.filter(r"root RLIKE '^[^ |]+ [^ |]+[|]'").groupBy(F.col("root").alias("whole"), first.alias("head")).agg(F.sum("n").alias("n"))
     words = placed.filter(r"form = root AND form RLIKE '^[^ |]{4,}[|][|]$'").select("form", F.split("form", r"\|")[0].alias("word"))
-    exact = words.join(heads, F.col("word") == F.col("head")).select("form", "whole", "n")
-    best = exact.groupBy("form").agg(F.max(F.struct("n", "whole")).alias("best"), F.sum("n").alias("all"))
-    return best.filter(F.col("best.n") >= CLEAR * (F.col("all") - F.col("best.n"))).select("form", F.col("best.whole").alias("whole"))
+    cut = words.join(heads, F.col("word") == F.col("head")).groupBy("form").agg(F.max(F.struct("n", "whole")).alias("best"), F.sum("n").alias("all"))
+    return cut.filter(F.col("best.n") >= CERTAIN * F.col("all")).select("form", F.col("best.whole").alias("whole"))
 
 
-def organisations(spark, sf_dir: str) -> DataFrame:
+def organisations(spark, sf_dir: str, grammar: Grammar) -> DataFrame:
     """key, kind, form of each listing and job with a name."""
 
+    shared = spark.sparkContext.broadcast(grammar)
+
     @F.pandas_udf(T.StringType())
     def to_form(raw: pd.Series) -> pd.Series:
-        return raw.map(lambda r: form_of(r) if r else "")
+        return raw.map(lambda r: form_of(r, shared.value) if r else "")
 
     said = r"(?U)[^\s]"
     startups = table(spark, sf_dir, "startups").filter("listing_id IS NOT NULL")
@@ -293,9 +310,11 @@ def organisations(spark, sf_dir: str) -> DataFrame:
 
 def linked(spark, sf_dir: str) -> DataFrame:
     """key, is_job, root of each listing and job."""
-    records = materialize(organisations(spark, sf_dir), "organisations")
+    reference = table(spark, sf_dir, "canonical_entities")
+    grammar = grammar_of(reference)
+    records = materialize(organisations(spark, sf_dir, grammar), "organisations")
     forms = records.groupBy("form").agg(F.count(F.lit(1)).alias("n"))
-    return records.join(link_forms(forms, table(spark, sf_dir, "canonical_entities")), "form").select("key", "is_job", "root")
+    return records.join(link_forms(forms, reference, grammar), "form").select("key", "is_job", "root")
 
 
 def p7_found(spark, sf_dir: str) -> DataFrame:

@@ -1,8 +1,9 @@
 """Organisation names as people type them: cleaning and parsing into core words, sector and initials.
 
-``parse`` undoes what typing does without changing the words: look-alike letters, full-width forms, accents, letter case,
+``Grammar.parse`` undoes what typing does without changing the words: look-alike letters, full-width forms, accents, letter case,
 digits for letters, doubled spaces, legal forms, hiring notes, places, an acronym beside the name, joined or split words.
-What is left is a tuple of core words, a sector if one is said, and the words given by their initial only.
+What is left is a tuple of core words, a sector if one is said, and the words given by their initial only. Sectors are the
+last words that names of the reference list share, and their shortenings follow by rule.
 """
 
 from __future__ import annotations
@@ -10,8 +11,15 @@ from __future__ import annotations
 import functools
 import re
 import unicodedata
+from collections import defaultdict
+from collections.abc import Iterable
 from typing import NamedTuple
 
+from millrace.llm.distance import weighted_distance
+
+RECURS = 3  # names of the reference list whose last word makes it a sector
+VOWELS = set("aeiou")
+
 # Letters of other scripts that look like Latin ones.
 LOOKALIKES = str.maketrans({
     "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "і": "i", "ј": "j", "ѕ": "s", "ԁ": "d", "һ": "h", "к": "k", "м": "m", "т": "t", "в": "b", "н": "h", "ӏ": "l", "ѵ": "v", "ո": "n",
@@ -23,11 +31,9 @@ DIGITS = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "
 # Legal forms, and words that say nothing about which organisation is meant.
 LEGAL = "inc incorporated llc ltd limited corp corporation co company plc gmbh ag sas sarl srl spa sa bv nv ab oy as pbc pty kk lp llp ev intl international group holding holdings labs technologies technology hq worldwide global".split()
 LONG_LEGAL = [x for x in LEGAL if len(x) >= 7]
-# Sector words and the shortenings that are not plain prefixes or skeletons of them.
-SECTORS = "ai logistics foods software energy analytics compute cloud health systems research learning semiconductors finance mobility aerospace robotics biosciences instruments dynamics security speech networks materials vision".split()
-SHORT = {"sw": "software", "rsrch": "research", "bio": "biosciences", "semi": "semiconductors", "comp": "compute", "en": "energy", "fin": "finance", "sec": "security", "sys": "systems", "net": "networks", "mat": "materials", "rob": "robotics", "an": "analytics", "nets": "networks", "matls": "materials", "dyn": "dynamics"}
+# What people type in place of a name.
 NO_NAMES = set(
-    "unknown none null confidential vertraulich recruiter company stealth stealthstartup privatecompany ourclient selfemployed seedescription aleadingailab na nn tbd anonymous undisclosed client employer startup various freelance notdisclosed test notavailable hidden".split()
+    "unknown none null confidential vertraulich recruiter company stealth stealthstartup privatecompany ourclient selfemployed na nn tbd anonymous undisclosed client employer startup various freelance notdisclosed test notavailable hidden seedescription seebelow".split()
 )
 
 
@@ -73,40 +79,6 @@ def letter_mask(word: str) -> int:
     return out
 
 
-SECTOR_MASKS = [(s, letter_mask(s)) for s in SECTORS]
-
-
-@functools.lru_cache(100_000)
-def sector_of(word: str) -> str:
-    """The sector a word stands for: itself, a typo, a prefix of three letters or more, or a skeleton of its letters."""
-    if word in SECTORS:
-        return word
-    if word in SHORT:
-        return SHORT[word]
-    if len(word) >= 4:
-        mask = letter_mask(word)
-        # two edits bring in or take out at most two letters
-        close = [s for s, m in SECTOR_MASKS if abs(len(s) - len(word)) <= 2 and (mask & ~m).bit_count() <= 2 and (m & ~mask).bit_count() <= 2]
-        for s in close:
-            if len(s) > 4 and near(word, s):
-                return s
-        if len(word) >= 6 and any(len(s) >= 7 for s in close):
-            from millrace.llm.distance import weighted_distance
-
-            for s in close:
-                if len(s) >= 7 and weighted_distance(word, s, 2.0) <= 2.0:
-                    return s
-    if len(word) >= 3:
-        starts = [s for s in SECTORS if s.startswith(word)]
-        if len(starts) == 1:
-            return starts[0]
-    if len(word) >= 3 and not set(word[1:-1]) & set("aeiou"):
-        for s in SECTORS:
-            if s[0] == word[0] and (word[-1] == s[-1] or word[-1] not in "aeiou") and len(s) > len(word) and subsequence(word, s) and len(word) * 2 >= len([c for c in s if c not in "aeiou"]):
-                return s
-    return ""
-
-
 def subsequence(a: str, b: str) -> bool:
     it = iter(b)
     return all(c in it for c in a)
@@ -120,31 +92,6 @@ def legal(word: str) -> bool:
 LEGAL_RUN = re.compile("^(?:" + "|".join(sorted(LEGAL, key=len, reverse=True)) + "){2,}$")
 
 
-def without_legal_tail(words: list[tuple[str, bool]]) -> list[tuple[str, bool]]:
-    """Without the legal forms, some with a typo or in pieces, that end a name. What is left has a word of three letters."""
-    while len(words) > 1:
-        w = words[-1][0]
-        if len(w) in (2, 3) and w not in SHORT and w not in LEGAL and near(w, "ai") and not any(sector_of(x) for x, _ in words[:-1]):
-            return [*words[:-1], ("ai", False)]
-        small = len(w) <= 2 and w not in SECTORS and w not in SHORT and any(len(x) > 2 for x, _ in words[:-1])
-        if len(w) == 1 and (len(words) == 2 or not words[-2][0] in SECTORS and len(words[-2][0]) > 2):
-            small = False  # one letter after a word may be an initial
-        if not (small or short_legal(w) or LEGAL_RUN.match(w)):
-            break
-        words = words[:-1]
-        if small and len(w) == 2 and words and len(words[-1][0]) == 1:
-            words = words[:-1]
-    return words
-
-
-@functools.lru_cache(100_000)
-def short_legal(word: str) -> bool:
-    """At most five letters and one edit from a short legal form; the sector AI and words of a name's length are not."""
-    if word in SECTORS or word in SHORT or len(word) > 5 or len(word) < 2:
-        return False
-    return any(near(word, x) for x in LEGAL if (len(x) >= 3 and len(x) <= 5) or len(x) == 2 and len(word) == 3) and (len(word) < 4 or not sector_of(word))
-
-
 HEAD = re.compile(r"^\s*(?:careers?\s*(?:@|at)|jobs?\s+(?:at|with)|join|via|the\s+(?=.*\speople\s*$)|team|work at|hiring(?: at|:)|about)\s+(?=\S)", re.I)
 TAIL = re.compile(r"\s*(?:\|\s*(?:careers?|jobs?|home|hiring).*|/\s*[\w &]*team.*|:\s*people (?:&|and) culture.*|\(\s*(?:we.re )?(?:hiring|remote|hybrid)[^)]*\)|,\s*[^,]*\boffice\b\s*|\s[–—-]\s*(?:emea|apac|amer|americas|europe|na|us|uk|dach|latam|global|remote)\s*|\s+people\s*|\bis hiring\b.*)$", re.I)
 MARKED = re.compile(r"[|/:(,–—-]|people|hiring", re.I)
@@ -156,36 +103,6 @@ WORD = re.compile(r"[^\W_]+\.?")
 CAMEL = re.compile(r"(?<=[a-z]{2})(?=[A-Z][a-z])")
 
 
-@functools.lru_cache(200_000)
-def parse(raw: str) -> Name:
-    text = " ".join(letters(raw).split())
-    was = None
-    while was != text:
-        was = text
-        if MARKED.search(text):
-            text = TAIL.sub("", text).strip()
-        if m := HEAD.match(text):
-            text = text[m.end() :].rstrip("! ")
-    acronym = ""
-    # an acronym beside the name: "PVA - Punise Veruse", "Dolagu Getandre Mobility (DGM)"
-    if "(" in text:
-        for m in PLACE_PAREN.finditer(text):
-            if 2 <= len(m[1]) <= 5 and fits_acronym(m[1], text[: m.start()]):
-                acronym = m[1].lower()
-        text = PLACE_PAREN.sub(" ", text).strip()
-    parts = [p for p in DASH.split(text) if p.strip()] if DASHES.search(text) else [text]
-    if len(parts) == 2:
-        a, b = parts[0].strip(), parts[1].strip()
-        if 2 <= len(a) <= 5 and " " not in a and fits_acronym(a, b, 2):
-            acronym, text = a.lower(), b
-        elif not words_of(b)[1] or len(b.split()) <= 2 and not any(sector_of(w.lower()) for w in re.findall(r"\w+", b)):
-            text = a  # "Kapumo Zeka - Gapuville": a place
-        else:
-            text = f"{a} {b}"
-    core, sector, initials = words_of(text)
-    return Name(core, sector, initials, acronym)
-
-
 def fits_acronym(short: str, full: str, least: int = 0) -> bool:
     """``short`` is made of the initials of ``full``. With ``least``, only so many must agree: a sector may be left out."""
     heads = [w[0].lower() for w in re.findall(r"[^\W_]+", full)]
@@ -194,43 +111,157 @@ def fits_acronym(short: str, full: str, least: int = 0) -> bool:
     return len(heads) >= 2 and len(short) >= 2 and subsequence(short.lower()[: len(heads)], "".join(heads)) and short.lower()[0] in heads
 
 
-def words_of(text: str) -> tuple[tuple[str, ...], str, str]:
-    if "." in text:
-        text = DOTTED.sub(lambda m: re.sub(r"[.\s]", "", m[1]) + " ", text)
-    if "'" in text or "’" in text:
-        text = re.sub(r"(?<=\w)['’](?=\w)", "", text)
-    found: list[tuple[str, bool]] = []
-    for m in WORD.finditer(text):
-        dotted = m[0].endswith(".")
-        w = m[0].rstrip(".")
-        if not w.isalpha() and any(c.isalpha() for c in w):
-            w = w.lower().translate(DIGITS)
-        if w.islower() or w.isupper() or w.istitle():
-            found.append((w.lower(), dotted))
-        else:
-            found += [(p.lower(), dotted) for p in CAMEL.split(w)]
-    words = [(w, d) for w, d in found if w not in ("and", "und", "et", "y", "the")]
-    if len(words) > 1:
-        kept = [x for i, x in enumerate(words) if not (legal(x[0]) and i > 0)]
-        words = kept or words
-    words = without_legal_tail(words)
-    core: list[str] = []
-    sector, initials = "", ""
-    for i, (w, d) in enumerate(words):
-        if len(w) == 1 and len(words) > 1:
-            if w in "ai" and not d and not sector and core and i == len(words) - 1:
-                sector = "ai"
-            elif not (i == len(words) - 1 and (sector or d and len(words) == 2)):
-                initials += w
-        elif not sector and len(words) > 1 and (s := sector_of(w)) and (s != "ai" or w == "ai"):
-            sector = s
-        else:
-            core.append(w)
-    if not core and sector:
-        core, sector = [sector], ""
-    return tuple(core), sector, initials
-
-
 def says_nothing(raw: str) -> bool:
     flat = re.sub(r"[^a-z]", "", letters(raw).lower())
     return not flat or flat in NO_NAMES
+
+
+def sectors_of(names: Iterable[str]) -> list[str]:
+    """The sector words of a reference list: last words that ``RECURS`` of its names of several words share."""
+    heads: dict[str, set[str]] = defaultdict(set)
+    for name in names:
+        words = letters(name).lower().split()
+        if len(words) > 1 and words[-1].isalpha() and words[-1] not in LEGAL:
+            heads[words[-1]].add(" ".join(words[:-1]))
+    return sorted((w for w, h in heads.items() if len(h) >= RECURS), key=lambda w: (-len(heads[w]), w))
+
+
+class Grammar:
+    """Parses names, given the sector words of a reference list."""
+
+    def __init__(self, sectors: Iterable[str] = ()):
+        self.sectors = list(sectors)
+        self.known = set(self.sectors)
+        self.masks = [(s, letter_mask(s)) for s in self.sectors]
+        self.sector_of = functools.lru_cache(100_000)(self._sector_of)
+        self.short_legal = functools.lru_cache(100_000)(self._short_legal)
+        self.shortened = functools.lru_cache(100_000)(self._shortened)
+        self.kept = functools.lru_cache(100_000)(self._parse)
+        self.tiny = [s for s in self.sectors if len(s) == 2]
+
+    def __reduce__(self):
+        return Grammar, (self.sectors,)
+
+    def _sector_of(self, word: str) -> str:
+        """The sector a word stands for: itself, a typo, or a shortening of no other: a prefix, its consonants, or both."""
+        if word in self.known:
+            return word
+        if len(word) >= 4:
+            mask = letter_mask(word)
+            # two edits bring in or take out at most two letters
+            close = [s for s, m in self.masks if abs(len(s) - len(word)) <= 2 and (mask & ~m).bit_count() <= 2 and (m & ~mask).bit_count() <= 2]
+            for s in close:
+                if len(s) > 4 and near(word, s):
+                    return s
+            if len(word) >= 6:
+                for s in close:
+                    if len(s) >= 7 and weighted_distance(word, s, 2.0) <= 2.0:
+                        return s
+        return self.shortened(word)
+
+    def parse(self, raw: str) -> Name:
+        return self.kept(raw) if len(raw) <= 200 else self._parse(raw)
+
+    def _shortened(self, word: str) -> str:
+        if len(word) < 2 or word in LEGAL:
+            return ""
+        starts = [s for s in self.sectors if len(s) > len(word) and s.startswith(word)]
+        if len(starts) == 1:
+            return starts[0]
+        if len(word) == 2:
+            bones = [s for s in self.sectors if s[0] == word[0] and word[1] in s[1:]]
+            return bones[0] if not starts and len(bones) == 1 and word[1] not in VOWELS else ""
+        if not set(word[1:-1]) & VOWELS:
+            for s in self.sectors:
+                if s[0] == word[0] and (word[-1] == s[-1] or word[-1] not in VOWELS) and len(s) > len(word) and subsequence(word, s) and len(word) * 2 >= len([c for c in s if c not in VOWELS]):
+                    return s
+        ends = [s for s in self.sectors if len(word) >= 4 and len(s) > len(word) and s.startswith(word[:3]) and word[-1] == s[-1] and subsequence(word, s)]
+        return ends[0] if len(ends) == 1 else ""
+
+    def _short_legal(self, word: str) -> bool:
+        """At most five letters and one edit from a short legal form; sectors and words of a name's length are not."""
+        if word in self.known or len(word) > 5 or len(word) < 2 or word not in LEGAL and self.shortened(word) and len(word) > 2:
+            return False
+        return any(near(word, x) for x in LEGAL if (len(x) >= 3 and len(x) <= 5) or len(x) == 2 and len(word) == 3) and (len(word) < 4 or not self.sector_of(word))
+
+    def without_legal_tail(self, words: list[tuple[str, bool]]) -> list[tuple[str, bool]]:
+        """Without the legal forms, some with a typo or in pieces, that end a name. What is left has a word of three letters."""
+        while len(words) > 1:
+            w = words[-1][0]
+            said = w in self.known or len(w) > 1 and bool(self.shortened(w))
+            if len(w) in (2, 3) and not said and w not in LEGAL and not any(self.sector_of(x) for x, _ in words[:-1]):
+                if meant := next((s for s in self.tiny if near(w, s)), ""):
+                    return [*words[:-1], (meant, False)]
+            small = len(w) <= 2 and not said and any(len(x) > 2 for x, _ in words[:-1])
+            if len(w) == 1 and (len(words) == 2 or words[-2][0] not in self.known and len(words[-2][0]) > 2):
+                small = False  # one letter after a word may be an initial
+            if not (small or self.short_legal(w) or LEGAL_RUN.match(w)):
+                break
+            words = words[:-1]
+            if small and len(w) == 2 and words and len(words[-1][0]) == 1:
+                words = words[:-1]
+        return words
+
+    def _parse(self, raw: str) -> Name:
+        text = " ".join(letters(raw).split())
+        was = None
+        while was != text:
+            was = text
+            if MARKED.search(text):
+                text = TAIL.sub("", text).strip()
+            if m := HEAD.match(text):
+                text = text[m.end() :].rstrip("! ")
+        acronym = ""
+        # an acronym beside the name: "PVA - Punise Veruse", "Dolagu Getandre Mobility (DGM)"
+        if "(" in text:
+            for m in PLACE_PAREN.finditer(text):
+                if 2 <= len(m[1]) <= 5 and fits_acronym(m[1], text[: m.start()]):
+                    acronym = m[1].lower()
+            text = PLACE_PAREN.sub(" ", text).strip()
+        parts = [p for p in DASH.split(text) if p.strip()] if DASHES.search(text) else [text]
+        if len(parts) == 2:
+            a, b = parts[0].strip(), parts[1].strip()
+            if 2 <= len(a) <= 5 and " " not in a and fits_acronym(a, b, 2):
+                acronym, text = a.lower(), b
+            elif not self.words_of(b)[1] or len(b.split()) <= 2 and not any(self.sector_of(w.lower()) for w in re.findall(r"\w+", b)):
+                text = a  # "Kapumo Zeka - Gapuville": a place
+            else:
+                text = f"{a} {b}"
+        core, sector, initials = self.words_of(text)
+        return Name(core, sector, initials, acronym)
+
+    def words_of(self, text: str) -> tuple[tuple[str, ...], str, str]:
+        if "." in text:
+            text = DOTTED.sub(lambda m: re.sub(r"[.\s]", "", m[1]) + " ", text)
+        if "'" in text or "’" in text:
+            text = re.sub(r"(?<=\w)['’](?=\w)", "", text)
+        found: list[tuple[str, bool]] = []
+        for m in WORD.finditer(text):
+            dotted = m[0].endswith(".")
+            w = m[0].rstrip(".")
+            if not w.isalpha() and any(c.isalpha() for c in w):
+                w = w.lower().translate(DIGITS)
+            if w.islower() or w.isupper() or w.istitle():
+                found.append((w.lower(), dotted))
+            else:
+                found += [(p.lower(), dotted) for p in CAMEL.split(w)]
+        words = [(w, d) for w, d in found if w not in ("and", "und", "et", "y", "the")]
+        if len(words) > 1:
+            kept = [x for i, x in enumerate(words) if not (legal(x[0]) and i > 0)]
+            words = kept or words
+        words = self.without_legal_tail(words)
+        core: list[str] = []
+        sector, initials = "", ""
+        for i, (w, d) in enumerate(words):
+            if len(w) == 1 and len(words) > 1:
+                if not d and not sector and core and i == len(words) - 1 and (meant := next((s for s in self.tiny if w in s), "")):
+                    sector = meant  # half of a short sector
+                elif not (i == len(words) - 1 and (sector or d and len(words) == 2)):
+                    initials += w
+            elif not sector and len(words) > 1 and (s := self.sector_of(w)) and (len(s) > 2 or w == s):
+                sector = s
+            else:
+                core.append(w)
+        if not core and sector:
+            core, sector = [sector], ""
+        return tuple(core), sector, initials

@@ -196,7 +196,7 @@ def with_counts(pages: DataFrame, lines: DataFrame, chosen: DataFrame | None = N
     # pages with nothing that recurs have their doubt, too
     marks = marked.unionByName(own.filter("doubt > 0").select("news_id", F.lit(-1).cast("long").alias("mark"), F.col("doubt").cast("long").alias("all")))
     marks = marks.groupBy("news_id").agg(F.collect_list("mark").alias("marks"), F.collect_list("all").alias("counts"))
-    return pages.join(marks, "news_id", "left" if chosen is None else "inner")
+    return pages.drop("host").join(marks, "news_id", "left" if chosen is None else "inner")
 
 
 def common_capitals(lines: DataFrame) -> frozenset:
