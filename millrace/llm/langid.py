@@ -31,6 +31,7 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: Bound of the sample that the models are fitted on: documents per language, and the longest text among them.
 FIT_DOCS, FIT_CHARS = 80, 6_000
 LONGEST = 12  # letters of a piece
+LONGEST_RUN = 12  # letters of a word that has no more than two different ones
 LONGEST_FITTED = 60  # letters of a word that are fitted together
 WORDS_AT_ONCE = 100_000
 FOREIGN = -9.0  # log probability a letter, below which a text is in none of the languages (about -3 in its own)
@@ -69,7 +70,8 @@ def words_of(line: str) -> list[str]:
     if not line.isascii():
         line = unicodedata.normalize("NFKC", line)
         line = "".join(c for c in line if c.isalpha() or unicodedata.category(c) not in ("Cf", "Mn"))
-    return WORD.findall(line.casefold())
+    # a long run of one or two letters is no word
+    return [w for w in WORD.findall(line.casefold()) if len(w) <= LONGEST_RUN or len(set(w)) > 2]
 
 
 def has_language(line: str, words: list[str]) -> bool:

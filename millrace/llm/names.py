@@ -162,14 +162,18 @@ class Grammar:
     def parse(self, raw: str) -> Name:
         return self.kept(raw) if len(raw) <= 200 else self._parse(raw)
 
+    def begun(self, word: str) -> list[str]:
+        """The sectors that a word is the beginning of."""
+        return [s for s in self.sectors if len(s) > len(word) and s.startswith(word)] if len(word) > 1 and word not in LEGAL else []
+
     def _shortened(self, word: str) -> str:
         if len(word) < 2 or word in LEGAL:
             return ""
-        starts = [s for s in self.sectors if len(s) > len(word) and s.startswith(word)]
+        starts = self.begun(word)
         if len(starts) == 1:
             return starts[0]
         if len(word) == 2:
-            bones = [s for s in self.sectors if s[0] == word[0] and word[1] in s[1:]]
+            bones = [s for s in self.sectors if s[0] == word[0] != word[1] and word[1] in s[1:]]
             return bones[0] if not starts and len(bones) == 1 and word[1] not in VOWELS else ""
         if not set(word[1:-1]) & VOWELS:
             for s in self.sectors:
@@ -180,7 +184,7 @@ class Grammar:
 
     def _short_legal(self, word: str) -> bool:
         """At most five letters and one edit from a short legal form; sectors and words of a name's length are not."""
-        if word in self.known or len(word) > 5 or len(word) < 2 or word not in LEGAL and self.shortened(word) and len(word) > 2:
+        if word in self.known or len(word) > 5 or len(word) < 2 or len(self.begun(word)) == 1:
             return False
         return any(near(word, x) for x in LEGAL if (len(x) >= 3 and len(x) <= 5) or len(x) == 2 and len(word) == 3) and (len(word) < 4 or not self.sector_of(word))
 
@@ -188,7 +192,7 @@ class Grammar:
         """Without the legal forms, some with a typo or in pieces, that end a name. What is left has a word of three letters."""
         while len(words) > 1:
             w = words[-1][0]
-            said = w in self.known or len(w) > 1 and bool(self.shortened(w))
+            said = w in self.known or len(self.begun(w)) == 1 or len(w) == 2 and bool(self.shortened(w))
             if len(w) in (2, 3) and not said and w not in LEGAL and not any(self.sector_of(x) for x, _ in words[:-1]):
                 if meant := next((s for s in self.tiny if near(w, s)), ""):
                     return [*words[:-1], (meant, False)]

@@ -53,6 +53,9 @@ def test_forward_sums_all_segmentations():
         total += p
     assert np.allclose(model.score("paper"), np.log(total))
     assert math.isfinite(model.score("字" * 500).max())
+    words = ["paper", "字" * 500, "a", "papers", "paper"]
+    assert np.allclose(model.lines([words, ["a"]]), [sum(model.score(w) for w in words), model.score("a")])
+    assert words_of("aaaaaaaaaaaaaaaaaaaa one 漢漢漢漢漢漢漢漢漢漢漢漢漢漢") == ["one"]
 
 
 @pytest.mark.parametrize(("label", "code"), [("English", "en"), ("pt-BR", "pt"), ("Deutsch", "de"), ("français", "fr"), ("und", ""), (None, ""), ("", ""), ("zh-Hans", "zh"), ("EN", "en"), ("jpn", "ja")])
