@@ -52,7 +52,6 @@ CONTROLS = re.compile(
 ENDS, QUOTES = ".!?…", "\"”»“'"
 NUMBER = re.compile(r"[0-9]+")
 LABELLED = re.compile(r"([^:：]{2,24}?)\s?[:：]\s")
-LABEL_END = re.compile(r"^[^:：]{2,24}\s?[:：]\s")
 CAPITAL = re.compile(r"[A-ZÀ-Ý][\w'-]{3,}")
 LINES = "news_id long, site long, letters long, head long, doubt int, places array<int>, keys array<long>, nexts array<int>, capitals array<string>"
 
