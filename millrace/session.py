@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import time
 import uuid
 import zipfile
 from pathlib import Path
@@ -48,22 +50,27 @@ def shared_dir(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
-def materialize(df: DataFrame, name: str = "t", by: str | None = None, tidy: bool = False) -> DataFrame:
+def materialize(df: DataFrame, name: str = "t", by: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage, survives the loss of executors, and lets
     later plans scan only the columns and row groups (with ``by``, the partitions) they need. The folders are those of the
-    session, which outlives every frame that reads them: they go with ``spark.checkpoint.dir``. Nothing refers to the
-    shuffles that ``df`` was made from any more; with ``tidy`` the driver's garbage is collected at once, so that Spark
-    deletes their files before the next large step."""
+    session, which outlives every frame that reads them: they go with ``spark.checkpoint.dir``."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/millrace-{name}-{uuid.uuid4().hex}"
     writer = df.write.partitionBy(by) if by else df.write
     writer.parquet(path)
-    if tidy:
-        spark.sparkContext._jvm.System.gc()
     read = spark.read.schema(df.schema).parquet(path)
     return read.select(*df.columns) if by else read
 
 
+def tidy(spark: SparkSession) -> None:
+    """Collect the driver's garbage now, so that Spark deletes the shuffle files behind frames that were materialised and
+    that nothing refers to any more, before the next large step adds its own."""
+    for _ in range(2):  # what the first pass frees holds what the second one can
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors, once per application: workers need not have it on their path."""
     sc = spark.sparkContext
