@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.session import materialize
+from millrace.session import materialize, tidy
 
 FRINGE = " \t\r\xa0﻿​"
 SPACES = "\xa0\u2009\u202f"
@@ -194,7 +194,9 @@ def with_counts(pages: DataFrame, lines: DataFrame, chosen: DataFrame | None = N
     marked = placed.join(recurring, F.col("key") == F.col("r_key")).select("news_id", mark.alias("mark"), "all")
     # pages with nothing that recurs have their doubt, too
     marks = marked.unionByName(own.filter("doubt > 0").select("news_id", F.lit(-1).cast("long").alias("mark"), F.col("doubt").cast("long").alias("all")))
-    marks = marks.groupBy("news_id").agg(F.collect_list("mark").alias("marks"), F.collect_list("all").alias("counts"))
+    # written, so that the shuffles of the counts go before texts are moved, and its size decides whether they are
+    marks = materialize(marks.groupBy("news_id").agg(F.collect_list("mark").alias("marks"), F.collect_list("all").alias("counts")), "marks")
+    tidy(pages.sparkSession)
     return pages.drop("host").join(marks, "news_id", "left" if chosen is None else "inner")
 
 
