@@ -120,3 +120,14 @@ def test_keys_of_long_words_meet_within_two_edits():
         assert typo_keys(word, 2) & typo_keys(other, 2)
     assert len(typo_keys("".join(chr(97 + i * i % 23) for i in range(5_000)), 2)) <= 75
     assert not typo_keys(word, 2) & typo_keys(word[::-1], 2)
+
+
+def test_rows_of_keys_are_not_broadcast(spark, tmp_path):
+    """A small file of forms has many times its size in keys, which must not be gathered on the driver."""
+    forms = [(i, f"tolani{chr(97 + i % 26)}{chr(97 + i // 26)} vemura|health|", 1 + i % 5) for i in range(300)]
+    spark.createDataFrame(forms, "id long, form string, n long").write.parquet(str(tmp_path / "forms"))
+    read = spark.read.parquet(str(tmp_path / "forms"))
+    found = linking.attach(read, read, read)
+    joined = [x for x in found._jdf.queryExecution().executedPlan().toString().split("\n") if "Join" in x and "key#" in x]
+    assert joined and all("SortMergeJoin" in x for x in joined)
+    assert found.count() > 0
