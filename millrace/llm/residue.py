@@ -2,8 +2,8 @@
 
 Three models of character 4-grams are fitted: filler, and error and script notices (from fixed seed texts, written from
 public knowledge: the classical filler passages, the reason phrases of HTTP, and the wording of servers, browsers and content
-systems), and natural prose (from a bounded sample of the corpus' own paragraphs, ``FIT_PAGES`` pages). Every text is scored by
-the log ratio of the better residue model to natural prose, summed over windows; windows above the threshold localise
+systems), and natural prose (counted over all paragraphs of the corpus; the counts are scaled to the weight of ``FIT_PAGES``
+pages, so that smoothing weighs the same in a corpus of any size). Every text is scored by the log ratio of the better residue model to natural prose, summed over windows; windows above the threshold localise
 residue. A record is residue if that covers ``COVERAGE`` of its content (what is left without the site's template), if its
 headline is residue throughout, or if an unfilled placeholder stands in its headline or sentences as a value, not as
 something that is written about.
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from millrace.llm.pages import CONTROLS, LONG, LONGEST_UNDER, Page, boilerplate_lines, common_capitals, ends_sentence, hashed_lines, pages_of, with_counts
 from millrace.session import table
 
-FIT_PAGES = 600  # bound of the sample that natural prose is fitted on
+FIT_PAGES = 600  # pages that the counts of natural prose weigh at most, whatever the pages they are taken from
 WINDOW, THRESHOLD = 40, 0.15  # letters of a window; nats a letter by which residue must lead
 COVERAGE = 0.35
 HEAD_WINDOW = 10  # letters of a headline that must all be residue beside paragraphs
@@ -118,6 +118,7 @@ PLACEHOLDER = re.compile(
 #: Two letters that every placeholder has, but for the bare words.
 SIGNS = re.compile(r"[{<$#*@\[&%_][{%<|@\[A-Za-z_]")
 WORDS = ("undefined", "NaN", "XXXX")
+LATIN = re.compile(r"\b(?:lorem|ipsum)\b", re.I)  # paragraphs with these words are no natural prose
 BARE = re.compile(r"^\W*(null|undefined|nan|none|x{3,}|tbd|tk|untitled|title|n/a|test)\W*$", re.I)
 # Words of sentences that are about a placeholder and don't suffer from one.
 ABOUT = re.compile(
@@ -155,12 +156,35 @@ def grams(codes: np.ndarray) -> np.ndarray:
     return ((p[:-3] * K + p[1:-2]) * K + p[2:-1]) * K + p[3:]
 
 
-def fit_model(texts: list[str]) -> np.ndarray:
-    """log P(letter | three before) of every 4-gram, interpolated over shorter contexts."""
-    index = np.concatenate([grams(encode(t)) for t in texts] or [np.zeros(0, np.int32)])
+def counts_of(texts: list[str]) -> np.ndarray:
+    """How often each 4-gram occurs in the texts, each of which begins after spaces."""
+    out = np.zeros(K**4, np.int64)
+    for t in texts:
+        np.add.at(out, grams(encode(t)), 1)
+    return out
+
+
+def paragraph_counts(texts: list[str]) -> tuple[np.ndarray, int]:
+    """``counts_of`` the paragraphs of some pages, taken together, and the number of pages that have one."""
+    out, pages, held, load = np.zeros(K**4, np.int64), 0, [], 0
+    for at, text in enumerate(texts, 1):
+        own = [x for x in text.split("\n") if len(x) >= LONG]
+        pages += bool(own)
+        held += [x for x in own if not LATIN.search(x)]
+        load += len(text)
+        if held and (load >= 20 * CHUNK or at == len(texts)):
+            whole = points("\n\n\n".join(held))
+            out += np.bincount(grams(CODES[np.minimum(whole, 0xFFFF)])[whole != 10], minlength=K**4)
+            held, load = [], 0
+    return out, pages
+
+
+def fit_model(texts: list[str], counted: np.ndarray | None = None) -> np.ndarray:
+    """log P(letter | three before) of every 4-gram, interpolated over shorter contexts. ``counted`` is added to the counts."""
+    whole = counts_of(texts).astype(np.float64) + (0 if counted is None else counted)
     p = np.full(K, 1.0 / K)
     for n in range(1, 5):
-        c = np.bincount(index % K**n, minlength=K**n).astype(np.float64).reshape(-1, K)
+        c = whole.reshape(-1, K**n).sum(0).reshape(-1, K)
         lower = np.tile(p.reshape(-1, K), (c.shape[0] // (p.size // K), 1))
         p = ((c + 4.0 * lower) / (c.sum(1, keepdims=True) + 4.0)).ravel()
     return np.log(p).astype(np.float32)
@@ -169,8 +193,8 @@ def fit_model(texts: list[str]) -> np.ndarray:
 class Residue:
     """Log ratios of the residue models to natural prose."""
 
-    def __init__(self, natural: list[str]):
-        base = fit_model(NATURAL + natural)
+    def __init__(self, natural: list[str], counted: np.ndarray | None = None):
+        base = fit_model(NATURAL + natural, counted)
         self.ratios = [np.clip(fit_model(seeds * 3) - base, -3, 3) for seeds in (FILLER, NOTICES)]
         # a window's sum of these is never below either model's; in steps of 1/40, rounded up, to stay in the cache
         self.bound = np.ceil(np.maximum(*self.ratios) * STEPS).astype(np.int8)
@@ -321,20 +345,31 @@ def recurring_notice(page: Page, model: Residue) -> bool:
     return False
 
 
-def natural_sample(news: DataFrame) -> list[str]:
-    """Paragraphs of at most ``FIT_PAGES`` pages with a paragraph, those with the smallest hashes of their ids."""
-    h = F.xxhash64("news_id")
-    text = F.col("content.full_text")
-    rows = news.filter(text.rlike(r"(?m)^.{%d}" % LONG)).select(h.alias("h"), text.alias("text")).orderBy("h", "text").limit(FIT_PAGES).collect()
-    latin = re.compile(r"\b(?:lorem|ipsum)\b", re.I)
-    return [x for text in sorted(r["text"] for r in rows) for x in text.split("\n") if len(x) >= LONG and not latin.search(x)]
+def natural_counts(news: DataFrame) -> np.ndarray:
+    """4-gram counts of the paragraphs of all pages, scaled to ``FIT_PAGES`` pages if there are more. At most K**4 rows come
+    to the driver, whatever the corpus."""
+
+    def emit(batches):
+        total, pages = np.zeros(K**4, np.int64), 0
+        for b in batches:
+            got, n = paragraph_counts(b["text"].tolist())
+            total, pages = total + got, pages + n
+        some = np.flatnonzero(total)
+        yield pd.DataFrame({"gram": np.append(some, -1), "n": np.append(total[some], pages)})
+
+    texts = news.select(F.col("content.full_text").alias("text")).filter("text IS NOT NULL")
+    rows = texts.mapInPandas(emit, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
+    gram, n = rows["gram"].to_numpy(), rows["n"].to_numpy()
+    out = np.zeros(K**4)
+    out[gram[gram >= 0]] = n[gram >= 0]
+    return out * min(1.0, FIT_PAGES / max(1, n[gram < 0].sum()))
 
 
 def screened_lines(news: DataFrame) -> tuple[DataFrame, DataFrame, object]:
     """pages, their hashed lines with the screen's verdict, and for broadcast the residue models and the corpus' common
     capitalised words: both of bounded size."""
     sc, pages = news.sparkSession.sparkContext, pages_of(news)
-    model = Residue(natural_sample(news))
+    model = Residue([], natural_counts(news))
     shared = sc.broadcast(model)
     lines = hashed_lines(pages, lambda heads, texts: shared.value.screen(heads, texts))
     return pages, lines, sc.broadcast((model, common_capitals(lines)))

@@ -1,6 +1,9 @@
 """Template removal (p1) and residue (p6) where counts are large, lines long, or error pages common."""
 
-from millrace.llm.pages import ROOT, TEMPLATE, Page, flagged
+import numpy as np
+
+from millrace.llm import residue
+from millrace.llm.pages import LONG, ROOT, TEMPLATE, Page, flagged
 from millrace.llm.residue import p1_found, p6_found
 from tests.llm.test_pages import BOTTOM, SCHEMA, TOP, site
 
@@ -60,3 +63,14 @@ def test_labels_and_roots_are_learnt_from_counts(spark, tmp_path):
     got = {(r["news_id"], r["line_no"]) for r in p1_found(spark, news(spark, tmp_path, rows)).collect()}
     for r in rows:
         assert {n for k, n in got if k == r[0]} == {1, 2, 9, 10, 11, 12, 13}, r[0]
+
+
+def test_prose_is_counted_over_all_pages(spark, monkeypatch):
+    """The model of prose has every paragraph of every page, at the weight of FIT_PAGES pages."""
+    rows = [*site(), (900, ("daily", "u"), ("x", f"short\n{LEGAL}\n{'Lorem ipsum dolor sit amet ' * 9}"), None, None), (901, None, None, None, None)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    paragraphs = [x for r in rows if r[2] for x in r[2][1].split("\n") if len(x) >= LONG and "Lorem" not in x]
+    want = residue.counts_of(paragraphs)
+    assert np.array_equal(residue.natural_counts(df), want) and want.sum() == sum(map(len, paragraphs))
+    monkeypatch.setattr(residue, "FIT_PAGES", 4)
+    assert np.allclose(residue.natural_counts(df), want * 4 / 41)
