@@ -74,3 +74,14 @@ def test_prose_is_counted_over_all_pages(spark, monkeypatch):
     assert np.array_equal(residue.natural_counts(df), want) and want.sum() == sum(map(len, paragraphs))
     monkeypatch.setattr(residue, "FIT_PAGES", 4)
     assert np.allclose(residue.natural_counts(df), want * 4 / 41)
+
+
+def test_residue_and_repeats_share_the_model_of_all_pages(spark, monkeypatch):
+    """p5 and p6 take their model from screened_lines: no page's prose is left out of it."""
+    df, made = spark.createDataFrame(site(), SCHEMA), []
+    init = residue.Residue.__init__
+    monkeypatch.setattr(residue, "FIT_PAGES", 10)
+    monkeypatch.setattr(residue.Residue, "__init__", lambda self, *a: made.append(a) or init(self, *a))
+    residue.screened_lines(df)
+    (natural, counted), = made
+    assert natural == [] and np.allclose(counted, residue.counts_of([x for r in site() for x in r[2][1].split("\n") if len(x) >= LONG]) / 4)
